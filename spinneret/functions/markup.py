@@ -12,7 +12,7 @@ from itertools import groupby
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spinneret.functions.staging import fence
+from spinneret.functions.staging import fence, quoted
 
 # --- Fixed values ---------------------------------------------------------------------------------------------------
 # Elements whose start and end separate words; all others join their neighbours.
@@ -46,6 +46,7 @@ LINK_TAG = rf"(?i)<a(?:[\s/]{_ATTRIBUTES})?(?:>|$)"
 BASE_TAG = rf"(?i)<base(?:[\s/]{_ATTRIBUTES})?(?:>|$)"
 # Group 1 is an attribute's name, group 2 its value with the quotes, if any.
 ATTRIBUTE = r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?"""
+QUOTES = r"""^["']|["']$"""
 
 
 def _named_entities() -> str:
@@ -86,16 +87,23 @@ ATTRIBUTE_ENTITIES = [
 ALNUM = "0123456789abcdefghijklmnopqrstuvwxyz"
 
 
-def _decode_alnum(text: Column) -> Column:
-    decoded = text
-    for char in ALNUM:
-        decoded = F.regexp_replace(decoded, alnum_entity(char), char)
-    return decoded
+def _replace(text: str, pattern: str, by: str) -> str:
+    return f"regexp_replace({text}, {quoted(pattern)}, {quoted(by)})"
+
+
+def _matches(text: str, pattern: str) -> str:
+    return f"{text} RLIKE {quoted(pattern)}"
 
 
-def without_code(html: Column) -> Column:
+def without_code(html: str) -> str:
     """The page without comments and without what stands inside scripts and style sheets."""
-    return F.regexp_replace(html, COMMENT_OR_CODE, "$1$2")
+    return _replace(html, COMMENT_OR_CODE, "$1$2")
+
+
+def _decode_alnum(text: str) -> str:
+    for char in ALNUM:
+        text = _replace(text, alnum_entity(char), char)
+    return text
 
 
 def with_raw_text(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
@@ -103,54 +111,56 @@ def with_raw_text(pages: DataFrame, html: str = "html", out: str = "text") -> Da
 
     One projection per step, so that a step's result is computed once although the next one uses it more than once.
     """
-    kept = [c for c in pages.columns if c != html]
-    t = F.col("_t")
+    kept = [f"`{c}`" for c in pages.columns if c != html]
 
-    def stage(text: Column) -> DataFrame:
-        return staged.select(*kept, text.alias("_t"))
+    def stage(text: str) -> DataFrame:
+        return staged.selectExpr(*kept, f"{text} AS _t")
 
-    staged = pages.select(*kept, without_code(F.col(html)).alias("_t"))
+    staged = pages.selectExpr(*kept, f"{without_code(html)} AS _t")
     # A page without a body tag loses its title here; elsewhere the title goes with all that comes before the body.
-    has_body = t.rlike(r"(?i)<body[\s/>]")
-    staged = stage(F.when(has_body, F.regexp_replace(t, BODY_START, "")).otherwise(F.regexp_replace(t, TITLE, " ")))
-    staged = stage(F.regexp_replace(F.regexp_replace(t, BLOCK_TAG, " "), ANY_TAG, ""))
-    staged = stage(F.when(t.contains("&#"), F.regexp_replace(t, NUMERIC_ENTITY, "$1;")).otherwise(t))
+    has_body = _matches("_t", r"(?i)<body[\s/>]")
+    staged = stage(f"CASE WHEN {has_body} THEN {_replace('_t', BODY_START, '')} ELSE {_replace('_t', TITLE, ' ')} END")
+    staged = stage(_replace(_replace("_t", BLOCK_TAG, " "), ANY_TAG, ""))
+    staged = stage(f"CASE WHEN contains(_t, '&#') THEN {_replace('_t', NUMERIC_ENTITY, '$1;')} ELSE _t END")
     # The 36 passes run only on pages with a numeric entity of an ASCII letter or digit.
-    staged = stage(F.when(t.contains("&#") & t.rlike(ALNUM_ENTITY), _decode_alnum(t)).otherwise(t))
-    letters = F.replace(t, F.lit(LETTER_ENTITY[0]), F.lit(LETTER_ENTITY[1]))
-    staged = stage(F.when(t.contains("&"), F.regexp_replace(letters, ENTITY, " ")).otherwise(t))
-    return staged.select(*kept, fence(F.lower("_t")).alias(out))
+    rare = f"contains(_t, '&#') AND {_matches('_t', ALNUM_ENTITY)}"
+    staged = stage(f"CASE WHEN {rare} THEN {_decode_alnum('_t')} ELSE _t END")
+    letters = f"replace(_t, {quoted(LETTER_ENTITY[0])}, {quoted(LETTER_ENTITY[1])})"
+    staged = stage(f"CASE WHEN contains(_t, '&') THEN {_replace(letters, ENTITY, ' ')} ELSE _t END")
+    return staged.selectExpr(*kept, f"{fence('lower(_t)')} AS `{out}`")
 
 
-def clean_text(text: Column) -> Column:
+def clean_text(text: str) -> Column:
     """Every character other than ``[a-z0-9 ]`` becomes one space."""
     return F.regexp_replace(F.lower(text), "[^a-z0-9 ]", " ")
 
 
-def tokens_of(text: Column) -> Column:
+def tokens_of(text: str) -> Column:
     """Tokens of two or more characters, in order. One pass: they are the longest runs of ``[a-z0-9]``."""
     return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]{2,}"), F.lit(0))
 
 
-def link_tags(html: Column) -> Column:
+def link_tags(html: str) -> Column:
     """All ``<a>`` start tags of the page in order, with those cut off by the end of the page."""
-    return F.regexp_extract_all(without_code(html), F.lit(LINK_TAG), F.lit(0))
+    return F.expr(f"regexp_extract_all({without_code(html)}, {quoted(LINK_TAG)}, 0)")
 
 
-def first_base_tag(html: Column) -> Column:
-    return F.regexp_extract(without_code(html), BASE_TAG, 0)
+def first_base_tag(html: str) -> Column:
+    return F.expr(f"regexp_extract({without_code(html)}, {quoted(BASE_TAG)}, 0)")
 
 
 def with_attribute(tags: DataFrame, tag: str, element: str, name: str, out: str) -> DataFrame:
     """Add a tag's first attribute of that name, unquoted and decoded; NULL if it has none."""
-    kept = tags.columns
-    rest = F.substring(tag, len(element) + 2, 1 << 30)
-    names = F.regexp_extract_all(F.lower(rest), F.lit(ATTRIBUTE), F.lit(1))
-    values = F.regexp_extract_all(rest, F.lit(ATTRIBUTE), F.lit(2))
-    found = tags.select(*kept, F.array_position(names, name).cast("int").alias("_place"), values.alias("_values"))
-    quoted = F.when(F.col("_place") > 0, F.get("_values", F.col("_place") - 1))
-    bare = found.select(*kept, F.regexp_replace(quoted, r"""^["']|["']$""", "").alias("_bare"))
-    plain = F.col("_bare")
+    kept = [f"`{c}`" for c in tags.columns]
+    rest = f"substring(`{tag}`, {len(element) + 2})"
+    found = tags.selectExpr(
+        *kept,
+        f"cast(array_position(regexp_extract_all(lower({rest}), {quoted(ATTRIBUTE)}, 1), '{name}') AS int) AS _place",
+        f"regexp_extract_all({rest}, {quoted(ATTRIBUTE)}, 2) AS _values",
+    )
+    value = "CASE WHEN _place > 0 THEN get(_values, _place - 1) END"
+    bare = found.selectExpr(*kept, f"{_replace(value, QUOTES, '')} AS _bare")
+    plain = "_bare"
     for pattern, char in ATTRIBUTE_ENTITIES:
-        plain = F.regexp_replace(plain, pattern, char)
-    return bare.select(*kept, fence(F.when(F.col("_bare").contains("&"), plain).otherwise(F.col("_bare"))).alias(out))
+        plain = _replace(plain, pattern, char)
+    return bare.selectExpr(*kept, f"{fence(f'CASE WHEN contains(_bare, {quoted("&")}) THEN {plain} ELSE _bare END')} AS `{out}`")

@@ -1,6 +1,6 @@
 """English Snowball (Porter2) stemming as column stages.
 
-Each step is one projection over the current word ``_w`` and the starts ``_p1``, ``_p2`` of the regions R1 and R2. The
+Each step is one or two projections over the current word ``_w`` and the starts ``_p1``, ``_p2`` of the regions R1 and R2. The
 whole chain is built-in string functions inside one generated-code span: no shuffle, no Python worker.
 
 A step first finds its suffix with one anchored pattern on the reversed word and then looks its rule up in a literal
@@ -10,10 +10,9 @@ form ran ten times slower.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from spinneret.functions.staging import fence
+from spinneret.functions.staging import fence, quoted
 
 # --- Fixed values of the published algorithm ------------------------------------------------------------------------
 VOWELS = "aeiouy"
@@ -57,17 +56,11 @@ def longest_first(suffixes) -> list[str]:
     return sorted(suffixes, key=lambda s: (-len(s), s))
 
 
-def _literal_map(pairs: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+def _literal_map(pairs: dict[str, str]) -> str:
+    return f"map({', '.join(quoted(x) for pair in pairs.items() for x in pair)})"
 
 
-def _cut(word: Column, n, tail: Column | None = None) -> Column:
-    """Drop the last n characters and add the tail."""
-    stump = F.substring(word, F.lit(1), F.length(word) - n)
-    return stump if tail is None else F.concat(stump, tail)
-
-
-def _find(word: Column, suffixes, letters_before: dict[str, str] | None = None) -> Column:
+def _find(suffixes, letters_before: dict[str, str] | None = None) -> str:
     """The longest of the suffixes that the word ends in, written backwards; empty if none fits.
 
     A suffix that asks for certain letters before it becomes a look-ahead in the reversed word. That keeps "the longest
@@ -75,110 +68,93 @@ def _find(word: Column, suffixes, letters_before: dict[str, str] | None = None)
     """
     asks = letters_before or {}
     backwards = "|".join(s[::-1] + (f"(?=[{asks[s]}])" if s in asks else "") for s in longest_first(suffixes))
-    return F.regexp_extract(F.reverse(word), f"^(?:{backwards})", 0)
-
-
-def _is_short(word: Column) -> Column:
-    return word.rlike(SHORT_SYLLABLE)
-
-
-def _step_1a(w: Column) -> Column:
-    return (
-        F.when(~w.endswith("s") & ~w.endswith("d"), w)
-        .when(w.rlike("(?:sses|..ie[sd])$"), _cut(w, 2))
-        .when(w.rlike("(?:ie[sd]|[aeiouy].+(?<![us])s)$"), _cut(w, 1))
-        .otherwise(w)
-    )
-
-
-def _step_1b(w: Column, suffix: Column, p1: Column) -> Column:
-    """The word without its 1b suffix; a trailing '+' asks the next stage to repair the end."""
-    n = F.length(suffix)
-    is_eed = suffix.endswith("dee")
-    return (
-        F.when(n == 0, w)
-        .when(is_eed & (F.length(w) - n >= p1), _cut(w, n, F.lit("ee")))
-        .when(~is_eed & _cut(w, n).rlike("[aeiouy]"), _cut(w, n, F.lit("+")))
-        .otherwise(w)
-    )
-
-
-def _repair_1b(w: Column, p1: Column) -> Column:
-    doubled = "|".join(DOUBLES)
-    return (
-        F.when(~w.endswith("+"), w)
-        .when(w.rlike("(?:at|bl|iz)[+]$"), _cut(w, 1, F.lit("e")))
-        .when(w.rlike(f"(?:{doubled})[+]$"), _cut(w, 2))
-        .when((F.length(w) - 1 == p1) & _is_short(_cut(w, 1)), _cut(w, 1, F.lit("e")))
-        .otherwise(_cut(w, 1))
-    )
-
-
-def _step_1c(w: Column) -> Column:
-    return F.when(w.rlike("^.+[^aeiouy][yY]$"), _cut(w, 1, F.lit("i"))).otherwise(w)
-
-
-def _by_rule(w: Column, suffix: Column, allowed: Column, tails: dict[str, str] | None = None) -> Column:
-    n = F.length(suffix)
-    tail = F.element_at(_literal_map({s[::-1]: t for s, t in tails.items()}), suffix) if tails else None
-    return F.when((n > 0) & allowed, _cut(w, n, tail)).otherwise(w)
-
-
-def _step_5(w: Column, p1: Column, p2: Column) -> Column:
-    last = F.length(w) - 1
-    return (
-        F.when(w.endswith("e") & ((last >= p2) | ((last >= p1) & ~_is_short(_cut(w, 1)))), _cut(w, 1))
-        .when(w.endswith("ll") & (last >= p2), _cut(w, 1))
-        .otherwise(w)
-    )
-
-
-def _region(w: Column, pattern: str) -> Column:
+    return f"regexp_extract(reverse(_w), '^(?:{backwards})', 0)"
+
+
+def _cut(n: int | str, tail: str = "''") -> str:
+    """The word without its last n characters, with the tail added."""
+    stump = f"substring(_w, 1, length(_w) - {n})"
+    return stump if tail == "''" else f"concat({stump}, {tail})"
+
+
+def _is_short(word: str) -> str:
+    return f"{word} RLIKE '{SHORT_SYLLABLE}'"
+
+
+_STEP_1A = f"""
+    CASE WHEN NOT endswith(_w, 's') AND NOT endswith(_w, 'd') THEN _w
+         WHEN _w RLIKE '(?:sses|..ie[sd])$' THEN {_cut(2)}
+         WHEN _w RLIKE '(?:ie[sd]|[aeiouy].+(?<![us])s)$' THEN {_cut(1)}
+         ELSE _w END"""
+# The words that stop after step 1a end in nothing that a step after 1b would change.
+_FIND_1B = f"CASE WHEN _w IN ({', '.join(map(quoted, INVARIANT_AFTER_1A))}) THEN '' ELSE {_find(STEP_1B)} END"
+# A trailing '+' asks the next stage to repair the end.
+_STEP_1B = f"""
+    CASE WHEN _suffix = '' THEN _w
+         WHEN endswith(_suffix, 'dee') AND length(_w) - length(_suffix) >= _p1 THEN {_cut('length(_suffix)', "'ee'")}
+         WHEN NOT endswith(_suffix, 'dee') AND {_cut('length(_suffix)')} RLIKE '[aeiouy]'
+             THEN {_cut('length(_suffix)', "'+'")}
+         ELSE _w END"""
+_REPAIR_1B = f"""
+    CASE WHEN NOT endswith(_w, '+') THEN _w
+         WHEN _w RLIKE '(?:at|bl|iz)[+]$' THEN {_cut(1, "'e'")}
+         WHEN _w RLIKE '(?:{'|'.join(DOUBLES)})[+]$' THEN {_cut(2)}
+         WHEN length(_w) - 1 = _p1 AND {_is_short(_cut(1))} THEN {_cut(1, "'e'")}
+         ELSE {_cut(1)} END"""
+_STEP_1C = f"CASE WHEN _w RLIKE '^.+[^aeiouy][yY]$' THEN {_cut(1, quoted('i'))} ELSE _w END"
+_STEP_5 = f"""
+    CASE WHEN endswith(_w, 'e')
+              AND (length(_w) - 1 >= _p2 OR (length(_w) - 1 >= _p1 AND NOT ({_is_short(_cut(1))}))) THEN {_cut(1)}
+         WHEN endswith(_w, 'll') AND length(_w) - 1 >= _p2 THEN {_cut(1)}
+         ELSE _w END"""
+
+
+def _by_rule(allowed: str, tails: dict[str, str] | None = None) -> str:
+    tail = f"element_at({_literal_map({s[::-1]: t for s, t in tails.items()})}, _suffix)" if tails else "''"
+    return f"CASE WHEN _suffix <> '' AND {allowed} THEN {_cut('length(_suffix)', tail)} ELSE _w END"
+
+
+def _region(pattern: str) -> str:
     """Start of a region: the length of what the pattern takes from the left, or of the word if it does not match."""
-    taken = F.length(F.regexp_extract(w, pattern, 0))
-    return F.when(taken == 0, F.length(w)).otherwise(taken)
+    return f"coalesce(nullif(length(regexp_extract(_w, '{pattern}', 0)), 0), length(_w))"
 
 
 def with_stem(df: DataFrame, token: str, out: str = "stem") -> DataFrame:
     """Add the stem of the lower-case ``[a-z0-9]+`` column ``token``; every other column passes through."""
-    kept = df.columns
-    raw, w, p1, p2, suffix = (F.col(c) for c in (token, "_w", "_p1", "_p2", "_suffix"))
+    kept = [f"`{c}`" for c in df.columns]
 
-    def stage(word: Column, *extra: Column) -> DataFrame:
-        return staged.select(*kept, word.alias("_w"), *extra)
+    def stage(word: str, *extra: str) -> DataFrame:
+        return staged.selectExpr(*kept, f"{word} AS _w", *extra)
 
-    marked = F.regexp_replace(raw, "(^|[aeiouy])y", "$1Y")
-    staged = df.select(*kept, F.when(raw.contains("y"), marked).otherwise(raw).alias("_w"))
+    marked = f"regexp_replace(`{token}`, '(^|[aeiouy])y', '$1Y')"
+    staged = df.selectExpr(*kept, f"CASE WHEN contains(`{token}`, 'y') THEN {marked} ELSE `{token}` END AS _w")
 
     syllable = "[^aeiouy]*[aeiouy]+[^aeiouy]"
     r1 = f"^(?>{'|'.join(R1_PREFIXES)}|{syllable})"
-    staged = stage(w, _region(w, r1).alias("_p1"), _region(w, r1 + syllable).alias("_p2"))
+    staged = stage("_w", f"{_region(r1)} AS _p1", f"{_region(r1 + syllable)} AS _p2")
 
     regions = ("_p1", "_p2")
-    staged = stage(_step_1a(w), *regions)
-    # The words that stop after step 1a end in nothing that a step after 1b would change.
-    in_1b = F.when(w.isin(INVARIANT_AFTER_1A), F.lit("")).otherwise(_find(w, STEP_1B))
-    staged = stage(w, *regions, in_1b.alias("_suffix"))
-    staged = stage(_step_1b(w, suffix, p1), *regions)
-    staged = stage(_repair_1b(w, p1), *regions)
-    staged = stage(_step_1c(w), *regions)
-
-    in_r1 = F.length(w) - F.length(suffix) >= p1
-    in_r2 = F.length(w) - F.length(suffix) >= p2
-    asks = {s: before for s, (_, before) in STEP_2.items() if before}
-    staged = stage(w, *regions, _find(w, STEP_2, asks).alias("_suffix"))
-    staged = stage(_by_rule(w, suffix, in_r1, {s: t for s, (t, _) in STEP_2.items()}), *regions)
-
-    staged = stage(w, *regions, _find(w, STEP_3).alias("_suffix"))
-    only_r2 = [s[::-1] for s, (_, region) in STEP_3.items() if region == 2]
-    allowed = in_r1 & (~suffix.isin(only_r2) | in_r2)
-    staged = stage(_by_rule(w, suffix, allowed, {s: t for s, (t, _) in STEP_3.items()}), *regions)
-
-    staged = stage(w, *regions, _find(w, STEP_4, {s: b for s, b in STEP_4.items() if b}).alias("_suffix"))
-    staged = stage(_by_rule(w, suffix, in_r2), *regions)
-    staged = stage(_step_5(w, p1, p2))
-
-    whole_word = F.element_at(_literal_map(SPECIAL_STEMS | {word: word for word in INVARIANT_WORDS}), raw)
+    staged = stage(_STEP_1A, *regions)
+    staged = stage("_w", *regions, f"{_FIND_1B} AS _suffix")
+    staged = stage(_STEP_1B, *regions)
+    staged = stage(_REPAIR_1B, *regions)
+    staged = stage(_STEP_1C, *regions)
+
+    in_r1 = "length(_w) - length(_suffix) >= _p1"
+    in_r2 = "length(_w) - length(_suffix) >= _p2"
+    staged = stage("_w", *regions, f"{_find(STEP_2, {s: b for s, (_, b) in STEP_2.items() if b})} AS _suffix")
+    staged = stage(_by_rule(in_r1, {s: t for s, (t, _) in STEP_2.items()}), *regions)
+
+    staged = stage("_w", *regions, f"{_find(STEP_3)} AS _suffix")
+    only_r2 = ", ".join(quoted(s[::-1]) for s, (_, region) in STEP_3.items() if region == 2)
+    allowed = f"{in_r1} AND (_suffix NOT IN ({only_r2}) OR {in_r2})"
+    staged = stage(_by_rule(allowed, {s: t for s, (t, _) in STEP_3.items()}), *regions)
+
+    staged = stage("_w", *regions, f"{_find(STEP_4, {s: b for s, b in STEP_4.items() if b})} AS _suffix")
+    staged = stage(_by_rule(in_r2), *regions)
+    staged = stage(_STEP_5)
+
     # Words of one or two letters come through every step unchanged.
-    finished = F.coalesce(whole_word, F.translate("_w", "Y", "y"))
-    return staged.select(*[c for c in kept if c != out], fence(finished).alias(out))
+    special = _literal_map(SPECIAL_STEMS | {word: word for word in INVARIANT_WORDS})
+    finished = f"coalesce(element_at({special}, `{token}`), translate(_w, 'Y', 'y'))"
+    return staged.selectExpr(*[c for c in kept if c != f"`{out}`"], f"{fence(finished)} AS `{out}`")

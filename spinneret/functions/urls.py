@@ -2,67 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from spinneret.functions.staging import fence
+from spinneret.functions.staging import fence, quoted
 
 SCHEME = "^[a-zA-Z][a-zA-Z0-9+.-]*:"
 ORIGIN = "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*"
 DOT_SEGMENT = r"(?:^|/)\.\.?(?:/|$)"
 
 
-def _after(text: Column, front: Column) -> Column:
-    return F.substring(text, F.length(front) + 1, F.length(text))
+def _after(text: str, front: str) -> str:
+    return f"substring({text}, length({front}) + 1)"
 
 
-def _without_dots(path: Column) -> Column:
-    """Remove ``.`` and ``..`` segments from a path that starts with a slash."""
-    segments = F.split(path, "/")
-    kept = F.aggregate(
-        F.slice(segments, F.lit(2), F.size(segments)),
-        F.array().cast("array<string>"),
-        lambda done, segment: F.when(segment == ".", done)
-        .when(segment == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
-        .otherwise(F.array_append(done, segment)),
-    )
-    ends_in_dot = F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0)
-    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(ends_in_dot, F.lit("/")).otherwise(F.lit("")))
+def _leading(text: str, pattern: str) -> str:
+    return f"regexp_extract({text}, {quoted(pattern)}, 0)"
+
+
+# Removes '.' and '..' segments from a path that starts with a slash.
+_WITHOUT_DOTS = """
+    aggregate(
+        slice(split(_path, '/'), 2, length(_path) + 1),
+        cast(array() AS array<string>),
+        (done, segment) -> CASE
+            WHEN segment = '.' THEN done
+            WHEN segment = '..' THEN slice(done, 1, greatest(size(done) - 1, 0))
+            ELSE array_append(done, segment) END,
+        done -> concat(
+            '/', array_join(done, '/'),
+            CASE WHEN _path RLIKE '/[.][.]?$' AND size(done) > 0 THEN '/' ELSE '' END))"""
 
 
 def with_absolute_url(df: DataFrame, base: str, href: str, out: str) -> DataFrame:
     """Add ``href`` as seen from the page ``base``; '' if it is missing or cannot be resolved. Fragments stay."""
-    kept = df.columns
-    b, link, origin, path, own = (F.col(c) for c in (base, "_link", "_origin", "_path", "_own"))
-    staged = df.select(
+    kept = [f"`{c}`" for c in df.columns]
+    staged = df.selectExpr(
         *kept,
-        F.trim(href).alias("_link"),
-        F.regexp_extract(b, ORIGIN, 0).alias("_origin"),
-        F.regexp_extract(F.trim(href), ORIGIN, 0).alias("_own"),
+        f"trim(`{href}`) AS _link",
+        f"{_leading(f'`{base}`', ORIGIN)} AS _origin",
+        f"{_leading(f'trim(`{href}`)', ORIGIN)} AS _own",
+        f"{_leading(_after(f'`{base}`', _leading(f'`{base}`', ORIGIN)), '^[^?#]*')} AS _path",
     )
-    staged = staged.select("*", F.regexp_extract(_after(b, origin), "^[^?#]*", 0).alias("_path"))
-    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, "^.*/", 0))
-    has_scheme = link.rlike(SCHEME)
+    has_scheme = f"_link RLIKE {quoted(SCHEME)}"
     # The result is a front that stays as it is and a path, query and fragment whose dot segments go.
-    front = (
-        F.when(own != "", own)
-        .when(has_scheme, link)
-        .when(link.isNull() | (origin == ""), F.lit(""))
-        .when(link == "", b)
-        .when(link.startswith("//"), F.concat(F.regexp_extract(b, SCHEME, 0), link))
-        .when(link.startswith("#"), F.concat(F.regexp_extract(b, "^[^#]*", 0), link))
-        .when(link.startswith("?"), F.concat(origin, path, link))
-        .otherwise(origin)
-    )
-    rest = (
-        F.when(own != "", _after(link, own))
-        .when(has_scheme | link.isNull() | (origin == "") | link.rlike("^(?:$|//|[#?])"), F.lit(""))
-        .when(link.startswith("/"), link)
-        .otherwise(F.concat(folder, link))
-    )
-    staged = staged.select(*kept, front.alias("_front"), rest.alias("_rest"))
-    staged = staged.select(*kept, "_front", "_rest", F.regexp_extract("_rest", "^[^?#]*", 0).alias("_path"))
-    normal = F.when(path.rlike(DOT_SEGMENT), F.concat(_without_dots(path), _after(F.col("_rest"), path))).otherwise(
-        F.col("_rest")
-    )
-    return staged.select(*[c for c in kept if c != out], fence(F.concat("_front", normal)).alias(out))
+    front = f"""
+        CASE WHEN _own <> '' THEN _own
+             WHEN {has_scheme} THEN _link
+             WHEN _link IS NULL OR _origin = '' THEN ''
+             WHEN _link = '' THEN `{base}`
+             WHEN startswith(_link, '//') THEN concat({_leading(f'`{base}`', SCHEME)}, _link)
+             WHEN startswith(_link, '#') THEN concat({_leading(f'`{base}`', '^[^#]*')}, _link)
+             WHEN startswith(_link, '?') THEN concat(_origin, _path, _link)
+             ELSE _origin END"""
+    rest = f"""
+        CASE WHEN _own <> '' THEN {_after('_link', '_own')}
+             WHEN {has_scheme} OR _link IS NULL OR _origin = '' OR _link RLIKE '^(?:$|//|[#?])' THEN ''
+             WHEN startswith(_link, '/') THEN _link
+             WHEN _path = '' THEN concat('/', _link)
+             ELSE concat({_leading('_path', '^.*/')}, _link) END"""
+    staged = staged.selectExpr(*kept, f"{front} AS _front", f"{rest} AS _rest")
+    staged = staged.selectExpr(*kept, "_front", "_rest", f"{_leading('_rest', '^[^?#]*')} AS _path")
+    normal = f"CASE WHEN _path RLIKE {quoted(DOT_SEGMENT)} THEN concat({_WITHOUT_DOTS}, {_after('_rest', '_path')}) ELSE _rest END"
+    return staged.selectExpr(*[c for c in kept if c != f"`{out}`"], f"{fence(f'concat(_front, {normal})')} AS `{out}`")

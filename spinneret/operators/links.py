@@ -11,7 +11,7 @@ from spinneret.functions.urls import with_absolute_url
 
 def page_links(pages: DataFrame) -> DataFrame:
     """``(page_id, position, href)`` for every ``<a>`` in page order, duplicates kept; NULL without the attribute."""
-    tags = pages.select("page_id", F.posexplode(link_tags(F.col("html"))).alias("position", "tag"))
+    tags = pages.select("page_id", F.posexplode(link_tags("html")).alias("position", "tag"))
     whole = tags.where(F.col("tag").endswith(">"))
     return with_attribute(whole, "tag", "a", "href", out="href").drop("tag")
 
@@ -21,8 +21,7 @@ def resolved_links(pages: DataFrame) -> DataFrame:
 
     A ``<base href>`` takes the place of the page's URL. URLs are not normalised otherwise, fragments stay.
     """
-    html = F.col("html")
-    tags = pages.select("page_id", "url", first_base_tag(html).alias("base_tag"), link_tags(html).alias("tags"))
+    tags = pages.select("page_id", "url", first_base_tag("html").alias("base_tag"), link_tags("html").alias("tags"))
     based = with_attribute(tags, "base_tag", "base", "href", out="base_href").drop("base_tag")
     based = with_absolute_url(based, "url", "base_href", out="base_url").drop("base_href")
     base = F.when(F.col("base_url") == "", F.col("url")).otherwise(F.col("base_url"))

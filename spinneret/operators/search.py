@@ -16,7 +16,7 @@ BROADCAST_TERMS = 100_000
 
 def query_terms(texts: DataFrame, column: str = "text") -> DataFrame:
     """``(term)``: distinct stems of the words in query texts, prepared as page text is."""
-    words = texts.select(F.explode(tokens_of(F.col(column))).alias("token")).distinct()
+    words = texts.select(F.explode(tokens_of(column)).alias("token")).distinct()
     return cut_lineage(with_stem(words, "token", out="term").select("term").distinct())
 
 

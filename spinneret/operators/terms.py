@@ -15,7 +15,7 @@ BROADCAST_WORDS = 500_000
 
 def page_text(pages: DataFrame) -> DataFrame:
     """``(page_id, text)``: body text in lower case, everything but ``[a-z0-9 ]`` blanked out."""
-    return with_raw_text(pages.select("page_id", "html")).select("page_id", clean_text(F.col("text")).alias("text"))
+    return with_raw_text(pages.select("page_id", "html")).select("page_id", clean_text("text").alias("text"))
 
 
 def token_arrays(pages: DataFrame) -> DataFrame:
@@ -25,13 +25,13 @@ def token_arrays(pages: DataFrame) -> DataFrame:
 
 def text_token_arrays(texts: DataFrame, key: str) -> DataFrame:
     """``(key, tokens)`` with the distinct tokens of each plain text."""
-    return texts.select(key, F.array_distinct(tokens_of(F.col("text"))).alias("tokens"))
+    return texts.select(key, F.array_distinct(tokens_of("text")).alias("tokens"))
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
     """``(page_id, position, token)``: every token of two or more characters, duplicates kept."""
     texts = with_raw_text(pages.select("page_id", "html"))
-    return texts.select("page_id", F.posexplode(tokens_of(F.col("text"))).alias("position", "token"))
+    return texts.select("page_id", F.posexplode(tokens_of("text")).alias("position", "token"))
 
 
 def vocabulary(token_rows: DataFrame) -> DataFrame:
