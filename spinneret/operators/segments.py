@@ -15,11 +15,13 @@ _WORD_BITS = 32
 
 def segment_meta(postings: DataFrame, doc_table: DataFrame, segment_id: str) -> DataFrame:
     """One row ``(segment_id, token_count, doc_count)``; the caller adds the time it writes the segment."""
-    tokens = postings.select("token").distinct().agg(F.count(F.lit(1)).alias("token_count"))
-    docs = doc_table.agg(F.count(F.lit(1)).alias("doc_count"))
-    # Both sides are global aggregates, one row each.
-    one = tokens.withColumn("segment_id", F.lit(segment_id)).join(docs.withColumn("segment_id", F.lit(segment_id)), "segment_id")
-    return one.select("segment_id", "token_count", "doc_count")
+    tokens = postings.select("token").distinct().select(F.lit(1).alias("is_token"))
+    rows = tokens.unionByName(doc_table.select(F.lit(0).alias("is_token")))
+    return rows.agg(
+        F.lit(segment_id).alias("segment_id"),
+        F.count_if(F.col("is_token") == 1).alias("token_count"),
+        F.count_if(F.col("is_token") == 0).alias("doc_count"),
+    )
 
 
 def filter_bits(n_tokens: int) -> int:

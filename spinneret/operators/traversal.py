@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spinneret.operators.links import resolved_links
-from spinneret.session import cut_lineage
+from spinneret.session import cut_lineage, has_at_most, in_buckets
 
 # --- Fixed value: attempts after the first failure ------------------------------------------------------------------
 RETRIES = 3
 # --------------------------------------------------------------------------------------------------------------------
-# Hops whose visited sets are kept as separate tables before they are merged into one.
-_MERGE_EVERY = 8
+# Hops after which the visited URLs are laid out in buckets again.
+_SETTLE_EVERY = 8
+# Rows of one URL column that may be broadcast.
+SMALL_TABLE = 100_000
 
 
 def dequeue_unvisited(queue: DataFrame, visited: DataFrame) -> DataFrame:
@@ -22,25 +24,64 @@ def dequeue_unvisited(queue: DataFrame, visited: DataFrame) -> DataFrame:
     return queue.select("url").distinct().join(visited.select("url"), "url", "left_anti")
 
 
+class _Edges:
+    """Links laid out once for all hops: looking up a frontier does not move them again.
+
+    Sources with an ordinary number of links lie in hash buckets. A source with more than its share of one bucket would
+    make that bucket's task too long; there are at most as many of those as buckets. Their links stay in evenly filled
+    partitions, and the few that are in the frontier are broadcast to them.
+    """
+
+    def __init__(self, links: DataFrame):
+        spark = links.sparkSession
+        edges = cut_lineage(links.select("src_url", "dst_url").where("src_url <> dst_url").distinct())
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        degrees = edges.groupBy("src_url").agg(F.count(F.lit(1)).alias("n"))
+        large = cut_lineage(degrees.where(F.col("n") > max(edges.count() / buckets, SMALL_TABLE)).select("src_url"))
+        self.has_large = not large.isEmpty()
+        self.large_sources = large
+        if self.has_large:
+            self.large_edges = cut_lineage(edges.join(F.broadcast(large), "src_url", "left_semi"))
+            edges = edges.join(F.broadcast(large), "src_url", "left_anti")
+        self.name, self.bucketed = in_buckets(edges, "src_url")
+
+    def targets(self, frontier: DataFrame) -> DataFrame:
+        """``(url)``: distinct targets of the frontier's links, combined map-side before the shuffle."""
+        sources = frontier.select(F.col("url").alias("src_url"))
+        near = F.broadcast(sources) if has_at_most(sources, SMALL_TABLE) else sources
+        found = self.bucketed.join(near, "src_url", "left_semi")
+        if self.has_large:
+            few = sources.join(F.broadcast(self.large_sources), "src_url", "left_semi")
+            found = found.unionByName(self.large_edges.join(F.broadcast(few), "src_url", "left_semi"))
+        return found.select(F.col("dst_url").alias("url")).distinct()
+
+
 def reachable(links: DataFrame, seeds: DataFrame, max_hops: int | None = None) -> DataFrame:
     """``(url, hop)`` for all URLs that can be reached over ``(src_url, dst_url)``, with the least number of hops.
 
-    One round per hop: frontier joined with links, made distinct map-side, minus visited. Each frontier is checkpointed,
-    so that no plan grows with the number of hops. The rounds end on an empty frontier, on cyclic graphs too.
+    One round per hop: targets of the frontier, minus visited. Each frontier is checkpointed, so that no plan grows with
+    the number of hops; every few hops the visited URLs are laid out in buckets, which the next rounds read in place.
+    The rounds end on an empty frontier, on cyclic graphs too.
     """
-    edges = cut_lineage(links.select("src_url", "dst_url").where("src_url <> dst_url").distinct())
+    spark = links.sparkSession
+    edges = _Edges(links)
     frontier = cut_lineage(seeds.select("url").distinct().select("url", F.lit(0).alias("hop")))
-    done = [frontier]
-    hop = 0
-    while not frontier.isEmpty() and (max_hops is None or hop < max_hops):
-        hop += 1
-        targets = edges.join(frontier.select(F.col("url").alias("src_url")), "src_url", "left_semi")
-        if len(done) > _MERGE_EVERY:
-            done = [cut_lineage(reduce(DataFrame.unionByName, done))]
-        visited = reduce(DataFrame.unionByName, done).select("url")
-        fresh = targets.select(F.col("dst_url").alias("url")).distinct().join(visited, "url", "left_anti")
-        frontier = cut_lineage(fresh.select("url", F.lit(hop).alias("hop")))
+    done, recent, settled, names = [frontier], [frontier], None, [edges.name]
+    while not frontier.isEmpty() and (max_hops is None or len(done) <= max_hops):
+        if len(recent) > _SETTLE_EVERY:
+            name, settled = in_buckets(reduce(DataFrame.unionByName, done).select("url"), "url")
+            names.append(name)
+            recent = []
+        fresh = edges.targets(frontier)
+        if settled is not None:
+            fresh = fresh.join(settled, "url", "left_anti")
+        if recent:
+            fresh = fresh.join(reduce(DataFrame.unionByName, recent).select("url"), "url", "left_anti")
+        frontier = cut_lineage(fresh.select("url", F.lit(len(done)).alias("hop")))
         done.append(frontier)
+        recent.append(frontier)
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
     return reduce(DataFrame.unionByName, done)
 
 

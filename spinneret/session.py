@@ -59,3 +59,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def has_at_most(df: DataFrame, n_rows: int) -> bool:
     """Size check before a broadcast; reads no more rows than it has to."""
     return df.limit(n_rows + 1).count() <= n_rows
+
+
+def in_buckets(df: DataFrame, key: str) -> tuple[str, DataFrame]:
+    """Name and rows of a written table in hash buckets of ``key``; joins on ``key`` read it without a shuffle.
+
+    One key must not hold a large part of the rows, since a bucket is one task. The caller drops the name when done.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"spinneret_{uuid.uuid4().hex}"
+    writer = df.repartition(n, key).write.format("parquet").bucketBy(n, key)
+    writer.option("path", scratch_path(spark, "buckets")).saveAsTable(name)
+    return name, spark.table(name)
