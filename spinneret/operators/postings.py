@@ -18,11 +18,10 @@ BLOCK = 1 << 16
 def inverted_index(pages: DataFrame, doc_table: DataFrame) -> DataFrame:
     """``(token, doc_id)`` for the pages that ``doc_table`` lists.
 
-    The join is on the unique ``page_id`` and carries token arrays, not HTML. It leaves each page in one partition, so
-    the de-duplication of its stems needs no further shuffle.
+    Pages are parsed where they are read; the join on the unique ``page_id`` then moves token arrays, not HTML.
     """
-    words = token_arrays(pages).join(doc_table.select("page_id", "doc_id"), "page_id")
-    return distinct_stems(words, "page_id", "doc_id").select("token", "doc_id")
+    words = token_arrays(pages).join(doc_table.select("page_id", "doc_id"), "page_id").select("doc_id", "tokens")
+    return distinct_stems(words, "doc_id").select("token", "doc_id")
 
 
 def text_index(documents: DataFrame) -> DataFrame:

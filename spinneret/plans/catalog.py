@@ -252,7 +252,10 @@ def _split(spark, sf_dir):
     cut = documents.first_fetches(_pages(spark, sf_dir)).join(written["doc_table"], "url").select(
         (F.col("page_id") % N_SEGMENTS).alias("segment_id"), "url", F.col("doc_id").alias("old_id")
     )
-    numbered = cut_lineage(ordering.dense_rank(cut, "segment_id", "url", out="doc_id"))
+    ranked = cut_lineage(ordering.dense_rank(cut, "segment_id", "url", out="rank"))
+    # One row per segment.
+    starts = ranked.groupBy("segment_id").agg(F.min("rank").alias("start"))
+    numbered = ranked.join(F.broadcast(starts), "segment_id").withColumn("doc_id", F.col("rank") - F.col("start"))
     rows = written["postings"].withColumnRenamed("doc_id", "old_id").join(numbered, "old_id")
     return numbered.select("segment_id", "doc_id", "url"), rows.select("segment_id", "token", "doc_id")
 

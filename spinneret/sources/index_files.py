@@ -63,9 +63,11 @@ def write_segment(
     """
     root = f"{folder.rstrip('/')}/segment_id={segment_id}"
     token_dict = cut_lineage(layouts.layout(postings, compact))
+    # The files are ranges of tokens, so each holds about its share of them.
+    n_files = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bloom = {
         "parquet.bloom.filter.enabled#token": "true",
-        "parquet.bloom.filter.expected.ndv#token": str(max(token_dict.count(), 1)),
+        "parquet.bloom.filter.expected.ndv#token": str(2 * token_dict.count() // n_files + 1),
     }
     _write_sorted(postings.select("token", "doc_id"), f"{root}/postings", "token", "doc_id", **bloom)
     _write_sorted(token_dict, f"{root}/token_dict", "token", **bloom)
