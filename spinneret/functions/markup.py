@@ -95,9 +95,9 @@ def _matches(text: str, pattern: str) -> str:
     return f"{text} RLIKE {quoted(pattern)}"
 
 
-def without_code(html: str) -> str:
+def without_code(html: str) -> Column:
     """The page without comments and without what stands inside scripts and style sheets."""
-    return _replace(html, COMMENT_OR_CODE, "$1$2")
+    return F.regexp_replace(html, COMMENT_OR_CODE, "$1$2")
 
 
 def _decode_alnum(text: str) -> str:
@@ -116,7 +116,7 @@ def with_raw_text(pages: DataFrame, html: str = "html", out: str = "text") -> Da
     def stage(text: str) -> DataFrame:
         return staged.selectExpr(*kept, f"{text} AS _t")
 
-    staged = pages.selectExpr(*kept, f"{without_code(html)} AS _t")
+    staged = pages.select(*kept, without_code(html).alias("_t"))
     # A page without a body tag loses its title here; elsewhere the title goes with all that comes before the body.
     has_body = _matches("_t", r"(?i)<body[\s/>]")
     staged = stage(f"CASE WHEN {has_body} THEN {_replace('_t', BODY_START, '')} ELSE {_replace('_t', TITLE, ' ')} END")
@@ -141,12 +141,12 @@ def tokens_of(text: str) -> Column:
 
 
 def link_tags(html: str) -> Column:
-    """All ``<a>`` start tags of the page in order, with those cut off by the end of the page."""
-    return F.expr(f"regexp_extract_all({without_code(html)}, {quoted(LINK_TAG)}, 0)")
+    """All ``<a>`` start tags of a page without code, in order, with those cut off by the end of the page."""
+    return F.regexp_extract_all(html, F.lit(LINK_TAG), F.lit(0))
 
 
 def first_base_tag(html: str) -> Column:
-    return F.expr(f"regexp_extract({without_code(html)}, {quoted(BASE_TAG)}, 0)")
+    return F.regexp_extract(html, BASE_TAG, 0)
 
 
 def with_attribute(tags: DataFrame, tag: str, element: str, name: str, out: str) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinneret.functions.markup import first_base_tag, link_tags, with_attribute
+from spinneret.functions.markup import first_base_tag, link_tags, with_attribute, without_code
 from spinneret.functions.urls import with_absolute_url
 
 
 def page_links(pages: DataFrame) -> DataFrame:
     """``(page_id, position, href)`` for every ``<a>`` in page order, duplicates kept; NULL without the attribute."""
+    pages = pages.select("page_id", without_code("html").alias("html"))
     tags = pages.select("page_id", F.posexplode(link_tags("html")).alias("position", "tag"))
     whole = tags.where(F.col("tag").endswith(">"))
     return with_attribute(whole, "tag", "a", "href", out="href").drop("tag")
@@ -21,6 +22,7 @@ def resolved_links(pages: DataFrame) -> DataFrame:
 
     A ``<base href>`` takes the place of the page's URL. URLs are not normalised otherwise, fragments stay.
     """
+    pages = pages.select("page_id", "url", without_code("html").alias("html"))
     tags = pages.select("page_id", "url", first_base_tag("html").alias("base_tag"), link_tags("html").alias("tags"))
     based = with_attribute(tags, "base_tag", "base", "href", out="base_href").drop("base_tag")
     based = with_absolute_url(based, "url", "base_href", out="base_url").drop("base_href")

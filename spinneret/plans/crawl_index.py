@@ -20,9 +20,13 @@ def build_index(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def crawl_and_index(pages: DataFrame, seeds: DataFrame, max_hops: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(doc_table, postings)`` of the pages that can be reached from the seeds."""
-    fetched = cut_lineage(crawl(pages, seeds, max_hops).where("state = 'fetched'").select("url"))
-    return build_index(pages.join(fetched, "url", "left_semi"))
+    """``(doc_table, postings)`` of the pages that can be reached from the seeds.
+
+    What was reached narrows the document table, whose ids then select the parsed pages: no HTML goes through a shuffle.
+    """
+    fetched = crawl(pages, seeds, max_hops).where("state = 'fetched'").select("url")
+    doc_table = build_doc_table(pages.select("url", "page_id").join(fetched, "url", "left_semi"))
+    return doc_table, inverted_index(pages, doc_table)
 
 
 def publish(pages: DataFrame, folder: str, segment_id: str, compact: bool = True) -> dict[str, DataFrame]:

@@ -131,3 +131,24 @@ def test_visited_stream(spark, tmp_path):
         "checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
+
+
+def test_visited_stream_with_an_event_time_bound(spark, tmp_path):
+    rows = [("a", START), ("a", START + timedelta(minutes=1)), ("b", START + timedelta(minutes=2))]
+    spark.createDataFrame(rows, "url string, at timestamp").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("url string, at timestamp").parquet(str(tmp_path / "in"))
+    seen = jobs.first_sightings(stream, "at", "10 minutes").select("url")
+    query = seen.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+
+
+def test_index_stream_batch_run_again(spark, site, tmp_path):
+    """A repeated batch gives the same ids and replaces its own output."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    site.coalesce(1).write.parquet(source)
+    for state in ("state1", "state2"):
+        jobs.index_stream(jobs.page_stream(spark, source), out, str(tmp_path / state)).awaitTermination()
+    docs, rows = jobs.read_stream_index(spark, out)
+    assert docs.count() == 3 and rows.count() == 32
