@@ -42,12 +42,25 @@ def posting_gaps(postings: DataFrame) -> DataFrame:
 
 
 def compact_layout(postings: DataFrame) -> DataFrame:
-    """``(token, n_docs, n_bytes, offset)``: varint count, then the gaps as varints, tokens in order."""
-    sizes = posting_gaps(postings).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum(varint_width(F.col("gap"))).alias("gap_bytes")
+    """``(token, n_docs, n_bytes, offset)``: varint count, then the gaps as varints, tokens in order.
+
+    The gaps inside a block add up where the block's window already put them; only one row per block goes on, with its
+    first and last id, to size the gaps between blocks.
+    """
+    blocked = postings.select("token", "doc_id", F.expr(f"doc_id div {BLOCK}").alias("block"))
+    by_block = Window.partitionBy("token", "block").orderBy("doc_id")
+    gaps = blocked.withColumn("gap", F.col("doc_id") - F.lag("doc_id").over(by_block))
+    blocks = gaps.groupBy("token", "block").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.coalesce(F.sum(varint_width(F.col("gap"))), F.lit(0)).alias("inside"),
+        F.min("doc_id").alias("first_id"),
+        F.max("doc_id").alias("last_id"),
     )
-    sized = sizes.select("token", "n_docs", (varint_width(F.col("n_docs")) + F.col("gap_bytes")).alias("n_bytes"))
-    return offsets(sized, "token", size="n_bytes", out="offset")
+    before = F.lag("last_id", 1, 0).over(Window.partitionBy("token").orderBy("block"))
+    sized = blocks.withColumn("between", varint_width(F.col("first_id") - before))
+    sizes = sized.groupBy("token").agg(F.sum("n_docs").alias("n_docs"), F.sum(F.col("inside") + F.col("between")).alias("gap_bytes"))
+    total = (varint_width(F.col("n_docs")) + F.col("gap_bytes")).alias("n_bytes")
+    return offsets(sizes.select("token", "n_docs", total), "token", size="n_bytes", out="offset")
 
 
 def layout(postings: DataFrame, compact: bool) -> DataFrame:
