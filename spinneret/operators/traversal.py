@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spinneret.operators.links import resolved_links
-from spinneret.session import cut_lineage, has_at_most, in_buckets
+from spinneret.session import cut_lineage, in_buckets
 
 # --- Fixed value: attempts after the first failure ------------------------------------------------------------------
 RETRIES = 3
@@ -45,10 +45,10 @@ class _Edges:
             edges = edges.join(F.broadcast(large), "src_url", "left_anti")
         self.name, self.bucketed = in_buckets(edges, "src_url")
 
-    def targets(self, frontier: DataFrame) -> DataFrame:
+    def targets(self, frontier: DataFrame, size: int) -> DataFrame:
         """``(url)``: distinct targets of the frontier's links, combined map-side before the shuffle."""
         sources = frontier.select(F.col("url").alias("src_url"))
-        near = F.broadcast(sources) if has_at_most(sources, SMALL_TABLE) else sources
+        near = F.broadcast(sources) if size <= SMALL_TABLE else sources
         found = self.bucketed.join(near, "src_url", "left_semi")
         if self.has_large:
             few = sources.join(F.broadcast(self.large_sources), "src_url", "left_semi")
@@ -67,12 +67,12 @@ def reachable(links: DataFrame, seeds: DataFrame, max_hops: int | None = None) -
     edges = _Edges(links)
     frontier = cut_lineage(seeds.select("url").distinct().select("url", F.lit(0).alias("hop")))
     done, recent, settled, names = [frontier], [frontier], None, [edges.name]
-    while not frontier.isEmpty() and (max_hops is None or len(done) <= max_hops):
+    while (size := frontier.count()) > 0 and (max_hops is None or len(done) <= max_hops):
         if len(recent) > _SETTLE_EVERY:
             name, settled = in_buckets(reduce(DataFrame.unionByName, done).select("url"), "url")
             names.append(name)
             recent = []
-        fresh = edges.targets(frontier)
+        fresh = edges.targets(frontier, size)
         if settled is not None:
             fresh = fresh.join(settled, "url", "left_anti")
         if recent:
