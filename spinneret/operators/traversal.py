@@ -60,26 +60,30 @@ def reachable(links: DataFrame, seeds: DataFrame, max_hops: int | None = None) -
     """``(url, hop)`` for all URLs that can be reached over ``(src_url, dst_url)``, with the least number of hops.
 
     One round per hop: targets of the frontier, minus visited. Each frontier is checkpointed, so that no plan grows with
-    the number of hops; every few hops the visited URLs are laid out in buckets, which the next rounds read in place.
-    The rounds end on an empty frontier, on cyclic graphs too.
+    the number of hops. Visited URLs are broadcast while they are few, by count; every few hops, larger ones are laid out
+    in buckets, which the next rounds read in place. The rounds end on an empty frontier, on cyclic graphs too.
     """
     spark = links.sparkSession
     edges = _Edges(links)
     frontier = cut_lineage(seeds.select("url").distinct().select("url", F.lit(0).alias("hop")))
-    done, recent, settled, names = [frontier], [frontier], None, [edges.name]
+    done, recent, recent_size, settled, names = [frontier], [], 0, None, [edges.name]
     while (size := frontier.count()) > 0 and (max_hops is None or len(done) <= max_hops):
-        if len(recent) > _SETTLE_EVERY:
+        recent.append(frontier.select("url"))
+        recent_size += size
+        if recent_size > SMALL_TABLE and len(recent) > _SETTLE_EVERY:
             name, settled = in_buckets(reduce(DataFrame.unionByName, done).select("url"), "url")
             names.append(name)
-            recent = []
+            recent, recent_size = [], 0
+        elif len(recent) > _SETTLE_EVERY:
+            recent = [cut_lineage(reduce(DataFrame.unionByName, recent).coalesce(1))]
         fresh = edges.targets(frontier, size)
         if settled is not None:
             fresh = fresh.join(settled, "url", "left_anti")
         if recent:
-            fresh = fresh.join(reduce(DataFrame.unionByName, recent).select("url"), "url", "left_anti")
+            visited = reduce(DataFrame.unionByName, recent)
+            fresh = fresh.join(F.broadcast(visited) if recent_size <= SMALL_TABLE else visited, "url", "left_anti")
         frontier = cut_lineage(fresh.select("url", F.lit(len(done)).alias("hop")))
         done.append(frontier)
-        recent.append(frontier)
     for name in names:
         spark.sql(f"DROP TABLE {name}")
     return reduce(DataFrame.unionByName, done)

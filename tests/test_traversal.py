@@ -1,6 +1,8 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
+
 from spinneret.operators import traversal
 from spinneret.operators.traversal import RETRIES, crawl, dequeue_unvisited, reachable, retry_ledger
 from spinneret.plans.crawl_index import build_index
@@ -24,7 +26,9 @@ def _walk(edges, seeds):
     return hops
 
 
-def test_reachable_with_cycles_islands_and_a_long_chain(spark):
+@pytest.mark.parametrize("small", [100_000, 5])
+def test_reachable_with_cycles_islands_and_a_long_chain(spark, monkeypatch, small):
+    monkeypatch.setattr(traversal, "SMALL_TABLE", small)
     edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "c"), ("x", "y"), ("b", "gone"), ("a", "b")]
     edges += [(f"n{i}", f"n{i + 1}") for i in range(22)] + [("c", "n0"), ("n20", "a")]
     links = spark.createDataFrame(edges, "src_url string, dst_url string")
