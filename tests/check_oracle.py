@@ -55,7 +55,7 @@ def main():
     con = connect(sf_dir)
     failures = 0
     for name, query in queries().items():
-        if only and name not in only:
+        if name not in oracle_sql() or only and name not in only:
             continue
         try:
             problem = compare(spark, con, name, query, oracle_sql()[name], sf_dir)
