@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spinneret.llm import sharding
+from spinneret.llm import mixing, sharding
 from spinneret.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,11 +16,15 @@ def op1_sharding(spark, sf_dir):
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark, sf_dir):
+    return mixing.mix_digest(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
-    listed = [op1_sharding]
+    listed = [op1_sharding, op3_mixing]
     return {query.__name__: query for query in listed}
 
 
 def all_statements() -> dict[str, str]:
     """SQL for the operators that SQL can express."""
-    return {}
+    return {"op3_mixing": mixing.MIX_SQL}
