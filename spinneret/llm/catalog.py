@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spinneret.llm import mixing, sharding
+from spinneret.llm import mixing, sharding, toxicity
 from spinneret.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,8 +20,12 @@ def op3_mixing(spark, sf_dir):
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark, sf_dir):
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def all_queries() -> dict[str, Query]:
-    listed = [op1_sharding, op3_mixing]
+    listed = [op1_sharding, op3_mixing, op5_toxicity]
     return {query.__name__: query for query in listed}
 
 
