@@ -3,11 +3,11 @@
 A text's features are the hashed character n-grams that occur in it, each counted once. From labelled texts every
 feature gets the ratio r = log((p + a) / |p|) - log((q + a) / |q|) of its document counts p, q in the two classes. A
 logistic model is then fitted on the features times r. Features whose ratio is within ``MIN_Z`` standard errors of 0
-say nothing that can be told from chance and get no weight, so the model is a short list of n-grams.
+say nothing that can be told from chance and get no weight; the ``MOST_FEATURES`` surest ones are the model.
 
 Fitting uses a bounded sample of labelled rows: about ``SAMPLE`` of them, by a hash of doc_id, all labels where there
-are fewer. Counting is a Spark job with partial counts per partition; the driver gets the significant features (at
-most ``BUCKETS``) and the sample's few active features. Scoring is one pass over all texts, no shuffle.
+are fewer. Counting is a Spark job with partial counts per partition; the driver gets those features and the sample's
+few active ones. Scoring is one pass over all texts, no shuffle.
 """
 
 from __future__ import annotations
@@ -25,9 +25,11 @@ SIZES = (3, 5, 8)
 BITS = 20
 BUCKETS = 1 << BITS
 #: Labelled rows that the classifier is fitted on, about, and the tasks that count them.
-SAMPLE = 40_000
+SAMPLE = 20_000
 SAMPLE_PARTS = 16
 MIN_Z = 4.0
+#: Features with a weight; those whose ratios are most standard errors from 0.
+MOST_FEATURES = 4096
 SMOOTHING = 1.0
 L2 = 1e-3
 FOLDS = 5
@@ -89,18 +91,19 @@ def held_out(folds: int = FOLDS) -> F.Column:
 
 
 def log_count_ratios(counts: DataFrame, n_clean: int, n_toxic: int) -> DataFrame:
-    """``(feature, ratio)`` of the features whose ratio is at least ``MIN_Z`` standard errors from 0."""
+    """``(feature, ratio)`` of the features whose ratios are at least ``MIN_Z`` standard errors from 0, the surest ones."""
     p, q, n, m = F.col("toxic") + SMOOTHING, F.col("clean") + SMOOTHING, n_toxic + 2 * SMOOTHING, n_clean + 2 * SMOOTHING
     ratio = F.log(p / n) - F.log(q / m)
     error = F.sqrt(F.greatest(1 / p - 1 / n + 1 / q - 1 / m, F.lit(1e-12)))
-    return counts.select("feature", ratio.alias("ratio"), error.alias("error")).where(F.abs("ratio") >= MIN_Z * F.col("error"))
+    rated = counts.select("feature", ratio.alias("ratio"), (F.abs(ratio) / error).alias("z")).where(F.col("z") >= MIN_Z)
+    return rated.orderBy(F.desc("z"), "feature").limit(MOST_FEATURES).select("feature", "ratio")
 
 
 def _logistic(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, float]:
     """Coefficients and intercept on the active features, by accelerated gradient steps on all rows at once."""
     n, width = len(y), len(scale)
     at = np.repeat(np.arange(n), [len(r) for r in rows])
-    column = np.concatenate(rows) if rows else np.empty(0, np.int64)
+    column = np.concatenate(rows) if rows else np.empty(0, np.int32)
     value = scale[column]
     squared = np.bincount(at, value * value, n)
     step = 4.0 / (squared.max(initial=0.0) + 1.0)
@@ -128,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int | N
         return np.zeros(BUCKETS), float(np.log((n_toxic + 0.5) / (n_clean + 0.5))) if sizes else -1.0
     partial = rows.mapInPandas(_count, "feature bigint, clean bigint, toxic bigint")
     counts = partial.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    significant = log_count_ratios(counts, n_clean, n_toxic).select("feature", "ratio").collect()
+    significant = log_count_ratios(counts, n_clean, n_toxic).collect()
     ratios = np.zeros(BUCKETS)
     for feature, ratio in significant:
         ratios[feature] = ratio
@@ -137,11 +140,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int | N
 
     def active(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [np.searchsorted(used, features(t, chosen)) for t in batch["text"]]
+            found = [np.searchsorted(used, features(t, chosen)).astype(np.int32).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"active": found, "toxic": batch["toxic"]})
 
-    fitted = rows.mapInPandas(active, "active array<int>, toxic int").toPandas()
-    columns = [np.asarray(x, np.int64) for x in fitted["active"]]
+    fitted = rows.mapInPandas(active, "active binary, toxic int").toPandas()
+    columns = [np.frombuffer(x, np.int32) for x in fitted["active"]]
     w, b = _logistic(columns, fitted["toxic"].to_numpy(float), ratios[used])
     weights = np.zeros(BUCKETS)
     weights[used] = w * ratios[used]
