@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spinneret.llm import mixing, near_dups, sharding, toxicity
+from spinneret.llm import decontamination, mixing, near_dups, sharding, toxicity
 from spinneret.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,12 +24,16 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_decontamination(spark, sf_dir):
+    return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_near_dups(spark, sf_dir):
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
 def all_queries() -> dict[str, Query]:
-    listed = [op1_sharding, op3_mixing, op5_toxicity, op9_near_dups]
+    listed = [op1_sharding, op3_mixing, op5_toxicity, op8_decontamination, op9_near_dups]
     return {query.__name__: query for query in listed}
 
 
