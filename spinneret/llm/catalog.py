@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spinneret.llm import decontamination, mixing, near_dups, sharding, toxicity
+from spinneret.llm import decontamination, fingerprints, mixing, near_dups, secret_scan, sharding, toxicity
 from spinneret.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op3_mixing(spark, sf_dir):
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark, sf_dir):
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark, sf_dir):
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,8 +36,14 @@ def op9_near_dups(spark, sf_dir):
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op10_fingerprints(spark, sf_dir):
+    return fingerprints.edit_digest(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
-    listed = [op1_sharding, op3_mixing, op5_toxicity, op8_decontamination, op9_near_dups]
+    listed = [
+        op1_sharding, op3_mixing, op4_secret_scan, op5_toxicity, op8_decontamination, op9_near_dups, op10_fingerprints,
+    ]
     return {query.__name__: query for query in listed}
 
 
