@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spinneret.llm import decontamination, fingerprints, mixing, near_dups, secret_scan, sharding, toxicity
+from spinneret.llm import decontamination, fingerprints, html_text, mixing, near_dups, privacy, secret_scan, sharding, toxicity
 from spinneret.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,14 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_html_text(spark, sf_dir):
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+def op7_privacy(spark, sf_dir):
+    return privacy.private_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark, sf_dir):
     return decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,7 +50,8 @@ def op10_fingerprints(spark, sf_dir):
 
 def all_queries() -> dict[str, Query]:
     listed = [
-        op1_sharding, op3_mixing, op4_secret_scan, op5_toxicity, op8_decontamination, op9_near_dups, op10_fingerprints,
+        op1_sharding, op3_mixing, op4_secret_scan, op5_toxicity, op6_html_text, op7_privacy,
+        op8_decontamination, op9_near_dups, op10_fingerprints,
     ]
     return {query.__name__: query for query in listed}
 
