@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spinneret.llm import decontamination, fingerprints, html_text, mixing, near_dups, privacy, secret_scan, sharding, toxicity
+from spinneret.llm import decontamination, fingerprints, html_text, line_dedup, mixing, near_dups, privacy, secret_scan, sharding, toxicity
 from spinneret.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_sharding(spark, sf_dir):
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark, sf_dir):
+    return line_dedup.line_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark, sf_dir):
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_fingerprints(spark, sf_dir):
 
 def all_queries() -> dict[str, Query]:
     listed = [
-        op1_sharding, op3_mixing, op4_secret_scan, op5_toxicity, op6_html_text, op7_privacy,
+        op1_sharding, op2_line_dedup, op3_mixing, op4_secret_scan, op5_toxicity, op6_html_text, op7_privacy,
         op8_decontamination, op9_near_dups, op10_fingerprints,
     ]
     return {query.__name__: query for query in listed}
@@ -58,4 +62,4 @@ def all_queries() -> dict[str, Query]:
 
 def all_statements() -> dict[str, str]:
     """SQL for the operators that SQL can express."""
-    return {"op3_mixing": mixing.MIX_SQL, "op9_near_dups": near_dups.NEAR_DUPS_SQL}
+    return {"op2_line_dedup": line_dedup.LINES_SQL, "op3_mixing": mixing.MIX_SQL, "op9_near_dups": near_dups.NEAR_DUPS_SQL}
