@@ -33,10 +33,9 @@ def with_row(scan: DataFrame) -> DataFrame:
     return scan.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def only_columns(docs: DataFrame, *names: str) -> DataFrame:
-    """The named columns; those that the table lacks are null."""
-    lacking = {n: F.lit(None).cast("string") for n in names if n not in docs.columns}
-    return docs.withColumns(lacking).select(*names)
+def packed(scan: DataFrame) -> DataFrame:
+    """``(_row, doc)``: the rows of a table scan as one struct column, so that no column's name can clash with others."""
+    return with_row(scan.select(F.struct(*[scan[c] for c in scan.columns]).alias("doc")))
 
 
 def components(links: DataFrame) -> DataFrame:

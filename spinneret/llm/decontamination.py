@@ -161,17 +161,20 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     return joined.select("doc_id", F.size(ids).cast("bigint").alias("n_items"), F.array_join(ids, ",").alias("item_ids"), (F.size(ids) > 0).alias("contaminated"))
 
 
+def _is_clean(docs: DataFrame, block: list[tuple[int, str]]) -> F.Column:
+    shared = docs.sparkSession.sparkContext.broadcast(block)
+
+    @F.pandas_udf("boolean")
+    def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = Matcher(shared.value)
+        for batch in texts:
+            yield pd.Series([not matcher.found_in(normal(t)) for t in batch], dtype=bool)
+
+    return clean(F.coalesce(docs["text"], F.lit("")))
+
+
 def without_benchmark(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no item, with their own columns."""
-    flags = None
     for block in item_blocks(items):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        @F.pandas_udf("boolean")
-        def clean(texts: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            matcher = Matcher(shared.value)
-            for batch in texts:
-                yield pd.Series([not matcher.found_in(normal(t)) for t in batch])
-
-        flags = clean("text") if flags is None else flags & clean("text")
-    return docs if flags is None else docs.where(flags)
+        docs = docs.where(_is_clean(docs, block))
+    return docs

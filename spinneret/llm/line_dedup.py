@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinneret.llm.common import ROW, components, with_row
+from spinneret.llm.common import ROW, components, packed, with_row
 from spinneret.llm.shingles import mix
 from spinneret.session import cut_lineage
 
@@ -41,7 +41,7 @@ def numbered_lines(docs: DataFrame) -> DataFrame:
 
     A line is what lies between two ``\\n``; its number counts all lines of the document from 0.
     """
-    rows = with_row(docs).select(ROW, "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    rows = with_row(docs.select("doc_id", "text")).select(ROW, "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     rows = rows.where(F.trim("line", F.lit(" \t\r\x0b\x0c")) != "")
     return rows.select("*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
 
@@ -200,9 +200,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """All columns, with ``text`` without the removed lines. ``docs`` is a table scan; a null text stays null."""
-    joined = with_row(docs).join(removed_lines(docs), ROW, "left")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
-    return joined.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
+    joined = packed(docs).join(removed_lines(docs), ROW, "left")
+    kept = F.array_join(F.filter(F.split("doc.text", "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
+    text = F.when(F.col("removed").isNull(), F.col("doc.text")).otherwise(kept).alias("text")
+    return joined.select(*[text if c == "text" else f"doc.{c}" for c in docs.columns])
 
 
 def line_digest(docs: DataFrame) -> DataFrame:
@@ -211,7 +212,7 @@ def line_digest(docs: DataFrame) -> DataFrame:
     ``n_lines`` counts all lines, blank ones too; a null text has none. Repeated rows are later occurrences of the
     first one, so all their lines go. Blank lines always stay. Extra columns play no part.
     """
-    own = with_row(docs).select(ROW, "doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("bigint").alias("n_lines"))
+    own = with_row(docs.select("doc_id", "text")).select(ROW, "doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("bigint").alias("n_lines"))
     own = own.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
     joined = own.join(removed_lines(docs), ROW, "left")
     return joined.select(

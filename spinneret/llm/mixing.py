@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinneret.llm.common import ROW, WORD, with_row
+from spinneret.llm.common import ROW, WORD, packed, with_row
 from spinneret.operators.ordering import in_ranges, rank_rows, running_sum
 from spinneret.session import cut_lineage
 
@@ -122,10 +122,10 @@ def mix_table(docs: DataFrame, **settings) -> DataFrame:
     Row numbers, sources and sizes are planned; the texts are joined to their copies and sorted into ranges, two
     exchanges of what the mix takes. ``docs`` must be a scan; ``position`` replaces a column of that name.
     """
-    keep = [c for c in docs.columns if c != "position"]
-    plan = plan_mix(with_row(docs).select(ROW, "doc_id", "source", n_words().alias("size")), **settings)
-    copies = plan.select(ROW, F.explode("positions").alias("position"))
-    return with_row(docs).join(copies, ROW).select(*keep, "position", ROW).repartitionByRange("position", ROW).sortWithinPartitions("position", ROW).drop(ROW)
+    keep = [f"doc.{c}" for c in docs.columns if c != "position"]
+    plan = plan_mix(with_row(docs.select("doc_id", "source", n_words().alias("size"))), **settings)
+    copies = packed(docs).join(plan.select(ROW, F.explode("positions").alias("position")), ROW)
+    return copies.repartitionByRange("position", ROW).sortWithinPartitions("position", ROW).select(*keep, "position")
 
 
 def mix_digest(docs: DataFrame, **settings) -> DataFrame:

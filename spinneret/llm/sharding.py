@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinneret.llm.common import ROW, with_row
+from spinneret.llm.common import ROW, packed
 from spinneret.operators.ordering import in_ranges, rank_rows
 from spinneret.session import cut_lineage
 
@@ -158,9 +158,10 @@ def shard_table(docs: DataFrame, n_shards: int = N_SHARDS, seed: int = 0) -> Dat
     Only row numbers are dealt; the rows themselves are joined to their places and ordered, two exchanges in all.
     ``docs`` must be a scan (see :func:`spinneret.llm.common.with_row`); write any other frame first.
     """
-    keep = [c for c in docs.columns if c not in ("shard", "slot")]
-    places = deal(with_row(docs).select(ROW), n_shards, seed)
-    return with_row(docs).join(places, ROW).select(*keep, "shard", "slot").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    keep = [f"doc.{c}" for c in docs.columns if c not in ("shard", "slot")]
+    rows = packed(docs)
+    placed = rows.join(deal(rows.select(ROW), n_shards, seed), ROW).repartitionByRange("shard", "slot")
+    return placed.sortWithinPartitions("shard", "slot").select(*keep, "shard", "slot")
 
 
 def shard_digest(docs: DataFrame, n_shards: int = N_SHARDS, seed: int = 0) -> DataFrame:

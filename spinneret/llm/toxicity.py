@@ -151,28 +151,28 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int | N
     return weights, float(b)
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], out: str = "score") -> DataFrame:
-    """All columns with the probability of label 1; a null text is an empty one. No shuffle."""
+def probability(docs: DataFrame, model: tuple[np.ndarray, float]) -> F.Column:
+    """The probability of label 1 for ``docs.text``, as a column; a null text is an empty one. No shuffle."""
     weights, intercept = model
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
     @F.pandas_udf("double")
-    def probability(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        active = shared.value != 0
         for batch in texts:
-            active = shared.value != 0
             z = np.array([shared.value[features(t, active)].sum(dtype=np.float64) for t in batch]) + intercept
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
-    return docs.withColumn(out, probability("text"))
+    return scored(F.coalesce(docs["text"], F.lit("")))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted``. Extra columns of ``docs`` play no part."""
-    scored = score(docs.select("doc_id", "text"), fit(docs, labels, folds=folds))
+    texts = docs.select("doc_id", "text")
+    scored = texts.withColumn("score", probability(texts, fit(docs, labels, folds=folds)))
     return scored.select("doc_id", held_out(folds).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier doesn't reject, with their own columns; all labels may teach it."""
-    scored = score(docs, fit(docs, labels, folds=None), out="_toxicity")
-    return scored.where(F.col("_toxicity") < THRESHOLD).select(*docs.columns)
+    return docs.where(probability(docs, fit(docs, labels, folds=None)) < THRESHOLD)
