@@ -174,11 +174,14 @@ def _inherit(blocks: list[Block], decided: list[bool | None]) -> None:
         for i, b in enumerate(blocks):
             if len(b.path) >= depth:
                 groups.setdefault(b.path[:depth], []).append(i)
-        for members in groups.values():
+        for path, members in groups.items():
+            if any(number < 0 for number in path):
+                # What stands in an article under a name of its own, as an advert, says nothing of the text around it.
+                members = [i for i in members if not blocks[i].barred]
             open_ones = [i for i in members if blocks[i].label is None]
             if not open_ones:
                 continue
-            if depth and blocks[members[0]].path[depth - 1] < 0 and not any(decided[i] for i in members):
+            if path and path[-1] < 0 and not any(decided[i] for i in members):
                 # An article of ambiguous blocks only has nothing nearer than the page around it to inherit from.
                 for i in open_ones:
                     blocks[i].label = True
