@@ -14,8 +14,8 @@ from spinneret.session import local_session  # noqa: E402
 
 HEADLINE = [
     "page_text", "page_tokens", "resolved_links", "stemmed_vocab", "doc_table", "inverted_index", "document_index",
-    "doc_frequency", "crawl_reachable", "crawl_outcome", "retry_ledger", "postings_compact", "document_compact",
-    "token_trie", "segment_skip", "segment_merge", "search_urls", "sampled_lookup",
+    "doc_frequency", "crawl_reachable", "crawl_index", "crawl_outcome", "retry_ledger", "postings_compact", "document_compact",
+    "token_trie", "segment_search", "segment_merge", "search_urls", "sampled_lookup",
 ]
 
 

@@ -1,7 +1,7 @@
 """Visible text, tokens and link targets of an HTML column, as built-in string functions.
 
-Every pattern takes one linear pass; none repeats an alternation without a bound, which would overflow the stack of
-Java's matcher on a hostile page.
+Every pattern takes one linear pass; alternations are repeated possessively, since other repeats would overflow the
+stack of Java's matcher on a hostile page.
 """
 
 from __future__ import annotations
@@ -26,9 +26,9 @@ BLOCK_TAGS = [
 ]
 # --------------------------------------------------------------------------------------------------------------------
 
-# A quoted value may hold '>'. Past 64 quoted values in one tag the tag simply ends at its first '>'.
+# A quoted value may hold '>'. The attributes are taken possessively, which Java runs as a loop, not on its stack.
 _VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)?"""
-_ATTRIBUTES = rf"(?:[^>=]*=\s*{_VALUE}){{0,64}}[^>]*"
+_ATTRIBUTES = rf"(?:[^>=]*=\s*{_VALUE})*+[^>]*"
 TAG_REST = rf"(?:[\s/]{_ATTRIBUTES})?"
 
 # In every pattern the part after a tag's attributes always matches ('>' or the end), so nothing is tried twice.
@@ -79,11 +79,15 @@ def alnum_entity(char: str) -> str:
     return rf"(?i)&#(?:0*(?:{decimal})|x0*(?:{hexadecimal}));"
 
 
-# Entities that are decoded in attribute values; '&' comes last.
-ATTRIBUTE_ENTITIES = [
-    ("(?i)&(?:quot;?|#0*34;|#x0*22;)", '"'), ("(?i)&(?:apos|#0*39|#x0*27);", "'"), ("(?i)&(?:lt;?|#0*60;|#x0*3c;)", "<"),
-    ("(?i)&(?:gt;?|#0*62;|#x0*3e;)", ">"), ("(?i)&(?:amp;?|#0*38;|#x0*26;)", "&"),
-]
+# Characters that leave no trace in a text, raw or as entities: soft hyphen and zero-width space.
+INVISIBLE = "\u00ad\u200b"
+_INVISIBLE_NAMES = sorted((n for n, c in html5.items() if c in tuple(INVISIBLE)), key=lambda n: (-len(n), n))
+INVISIBLE_ENTITY = rf"&(?:#0*(?:173|8203);|#[xX]0*(?:[aA][dD]|200[bB]);|{'|'.join(_INVISIBLE_NAMES)})"
+# Entities of characters outside ASCII whose lower case begins with an ASCII letter.
+LOWERED_ENTITIES = [(r"&#(?:0*8490|[xX]0*212[aA]);", "\u212a"), (r"&(?:Idot|#0*304|#[xX]0*130);", "\u0130")]
+
+# The pieces of an attribute value: an entity, text without '&', or a lone '&'. Without ';' only the oldest names count.
+ENTITY_PIECE = r"&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[a-zA-Z][a-zA-Z0-9]*;|(?i:&(?:quot|amp|lt|gt))|[^&]+|&"
 ALNUM = "0123456789abcdefghijklmnopqrstuvwxyz"
 
 
@@ -125,7 +129,10 @@ def with_raw_text(pages: DataFrame, html: str = "html", out: str = "text") -> Da
     # The 36 passes run only on pages with a numeric entity of an ASCII letter or digit.
     rare = f"contains(_t, '&#') AND {_matches('_t', ALNUM_ENTITY)}"
     staged = stage(f"CASE WHEN {rare} THEN {_decode_alnum('_t')} ELSE _t END")
+    staged = stage(f"translate(CASE WHEN contains(_t, '&') THEN {_replace('_t', INVISIBLE_ENTITY, '')} ELSE _t END, {quoted(INVISIBLE)}, '')")
     letters = f"replace(_t, {quoted(LETTER_ENTITY[0])}, {quoted(LETTER_ENTITY[1])})"
+    for pattern, char in LOWERED_ENTITIES:
+        letters = _replace(letters, pattern, char)
     staged = stage(f"CASE WHEN contains(_t, '&') THEN {_replace(letters, ENTITY, ' ')} ELSE _t END")
     return staged.selectExpr(*kept, f"{fence('lower(_t)')} AS `{out}`")
 
@@ -160,7 +167,19 @@ def with_attribute(tags: DataFrame, tag: str, element: str, name: str, out: str)
     )
     value = "CASE WHEN _place > 0 THEN get(_values, _place - 1) END"
     bare = found.selectExpr(*kept, f"{_replace(value, QUOTES, '')} AS _bare")
-    plain = "_bare"
-    for pattern, char in ATTRIBUTE_ENTITIES:
-        plain = _replace(plain, pattern, char)
-    return bare.selectExpr(*kept, f"{fence(f'CASE WHEN contains(_bare, {quoted("&")}) THEN {plain} ELSE _bare END')} AS `{out}`")
+    decoded = f"CASE WHEN contains(_bare, '&') THEN {_decoded('_bare')} ELSE _bare END"
+    return bare.selectExpr(*kept, f"{fence(decoded)} AS `{out}`")
+
+
+def _decoded(text: str) -> str:
+    """The text with its entities decoded; numbers that are no character become U+FFFD."""
+    names = {f"&{n}": c for n, c in html5.items() if n.endswith(";")} | {f"&{n}": html5[n] for n in ("quot", "amp", "lt", "gt")}
+    # One string holds the whole table, with marks around each name; a map literal of this size makes no compilable code.
+    table = quoted("\x01" + "".join(f"{n}\x02{c}\x01" for n, c in names.items()))
+    number = "cast(conv(rtrim(';', substring(p, if(lower(substring(p, 3, 1)) = 'x', 4, 3))), if(lower(substring(p, 3, 1)) = 'x', 16, 10), 10) AS bigint)"
+    valid = "(c BETWEEN 1 AND 55295 OR c BETWEEN 57344 AND 1114111)"
+    char = f"element_at(transform(array({number}), c -> if({valid}, decode(unhex(lpad(hex(c), 8, '0')), 'UTF-32'), '\\uFFFD')), 1)"
+    marked = "concat('\x01', if(endswith(p, ';'), p, lower(p)), '\x02')"
+    name = f"if(contains({table}, {marked}), substring_index(substring_index({table}, {marked}, -1), '\x01', 1), p)"
+    piece = f"CASE WHEN startswith(p, '&#') AND length(p) > 2 THEN {char} WHEN startswith(p, '&') AND length(p) > 1 THEN {name} ELSE p END"
+    return f"array_join(transform(regexp_extract_all({text}, {quoted(ENTITY_PIECE)}, 0), p -> {piece}), '')"

@@ -84,7 +84,8 @@ def _is_short(word: str) -> str:
 _STEP_1A = f"""
     CASE WHEN NOT endswith(_w, 's') AND NOT endswith(_w, 'd') THEN _w
          WHEN _w RLIKE '(?:sses|..ie[sd])$' THEN {_cut(2)}
-         WHEN _w RLIKE '(?:ie[sd]|[aeiouy].+(?<![us])s)$' THEN {_cut(1)}
+         WHEN _w RLIKE 'ie[sd]$' THEN {_cut(1)}
+         WHEN _w RLIKE '[^us]s$' AND substring(_w, 1, length(_w) - 2) RLIKE '[aeiouy]' THEN {_cut(1)}
          ELSE _w END"""
 # The words that stop after step 1a end in nothing that a step after 1b would change.
 _FIND_1B = f"CASE WHEN _w IN ({', '.join(map(quoted, INVARIANT_AFTER_1A))}) THEN '' ELSE {_find(STEP_1B)} END"

@@ -8,6 +8,7 @@ from spinneret.functions.staging import fence, quoted
 
 SCHEME = "^[a-zA-Z][a-zA-Z0-9+.-]*:"
 ORIGIN = "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*"
+CONTROLS = r"[\x00-\x1f]"
 DOT_SEGMENT = r"(?:^|/)\.\.?(?:/|$)"
 
 
@@ -36,11 +37,13 @@ _WITHOUT_DOTS = """
 def with_absolute_url(df: DataFrame, base: str, href: str, out: str) -> DataFrame:
     """Add ``href`` as seen from the page ``base``; '' if it is missing or cannot be resolved. Fragments stay."""
     kept = [f"`{c}`" for c in df.columns]
+    # Control characters count for nothing in a link, wherever they stand.
+    link = f"trim(regexp_replace(`{href}`, {quoted(CONTROLS)}, ''))"
     staged = df.selectExpr(
         *kept,
-        f"trim(`{href}`) AS _link",
+        f"{link} AS _link",
         f"{_leading(f'`{base}`', ORIGIN)} AS _origin",
-        f"{_leading(f'trim(`{href}`)', ORIGIN)} AS _own",
+        f"{_leading(link, ORIGIN)} AS _own",
         f"{_leading(_after(f'`{base}`', _leading(f'`{base}`', ORIGIN)), '^[^?#]*')} AS _path",
     )
     has_scheme = f"_link RLIKE {quoted(SCHEME)}"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spinneret.functions.markup import tokens_of
 from spinneret.functions.stemming import with_stem
 from spinneret.operators.ordering import POSITION, RANGE, dense_rank, in_ranges, running_max
+from spinneret.operators.segments import one_of
 from spinneret.session import cut_lineage, has_at_most
 
 # Most terms that are broadcast against the dictionary or the postings.
@@ -42,7 +43,7 @@ def search_words(words: list[str], postings: DataFrame, doc_table: DataFrame) ->
     spark = postings.sparkSession
     terms = query_terms(spark.createDataFrame([(w,) for w in words], "text string"))
     stems = [row.term for row in terms.collect()]
-    hits = postings.where(F.col("token").isin(stems))
+    hits = postings.where(one_of(stems))
     return hits.join(doc_table.select("doc_id", "url"), "doc_id").select(F.col("token").alias("term"), "url")
 
 

@@ -1,4 +1,4 @@
-"""Index segments: metadata, skipping by Bloom filter, merging."""
+"""Index segments: metadata, search over several, merging."""
 
 from __future__ import annotations
 
@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spinneret.operators.ordering import dense_rank
+from spinneret.session import has_at_most
 
-# Bits per token and probes per token of the segment filter: about one false positive in a hundred.
-BITS_PER_TOKEN = 10
-PROBES = 7
-_WORD_BITS = 32
-
+# Terms that become a literal filter, which the Parquet scan checks against the files' Bloom filters.
+LITERAL_TERMS = 1_000
 
 def segment_meta(postings: DataFrame, doc_table: DataFrame, segment_id: str) -> DataFrame:
     """One row ``(segment_id, token_count, doc_count)``; the caller adds the time it writes the segment."""
@@ -24,35 +22,28 @@ def segment_meta(postings: DataFrame, doc_table: DataFrame, segment_id: str) ->
     )
 
 
-def filter_bits(n_tokens: int) -> int:
-    """Filter length for the largest segment; all segments share it, so that a term is hashed once for all of them."""
-    words = -(-max(n_tokens, 1) * BITS_PER_TOKEN // _WORD_BITS)
-    return words * _WORD_BITS
-
-
-def _positions(token: Column, n_bits: int) -> Column:
-    """Distinct filter positions of a token, by double hashing of its MD5 digest."""
-    digest = F.md5(token)
-    first = F.conv(F.substring(digest, 1, 14), 16, 10).cast("bigint")
-    second = F.conv(F.substring(digest, 15, 14), 16, 10).cast("bigint")
-    return F.array_distinct(F.array(*[(first + i * second) % F.lit(n_bits) for i in range(PROBES)]))
-
+def search_segments(terms: DataFrame, postings: DataFrame, doc_tables: DataFrame) -> DataFrame:
+    """``(term, segment_id, url)``: the documents of each ``(term)`` in every segment.
 
-def bloom_filters(segment_tokens: DataFrame, n_bits: int) -> DataFrame:
-    """``(segment_id, word, bits)`` from ``(segment_id, token)``: the filter of each segment as 32-bit words."""
-    at = segment_tokens.select("segment_id", F.explode(_positions(F.col("token"), n_bits)).alias("position"))
-    mask = F.expr(f"shiftleft(1L, cast(position % {_WORD_BITS} as int))")
-    return at.groupBy("segment_id", F.expr(f"position div {_WORD_BITS}").alias("word")).agg(F.bit_or(mask).alias("bits"))
-
-
-def candidate_segments(terms: DataFrame, filters: DataFrame, n_bits: int) -> DataFrame:
-    """``(term, segment_id)`` pairs that a search has to read. A pair that is left out cannot hold the term."""
-    asked = terms.select(F.col("term"), _positions(F.col("term"), n_bits).alias("positions"))
-    probes = asked.select("term", F.size("positions").alias("needed"), F.explode("positions").alias("position"))
-    probes = probes.withColumn("word", F.expr(f"position div {_WORD_BITS}"))
-    is_set = F.expr(f"(bits & shiftleft(1L, cast(position % {_WORD_BITS} as int))) <> 0")
-    hits = probes.join(filters, "word").where(is_set).groupBy("term", "needed", "segment_id")
-    return hits.agg(F.count(F.lit(1)).alias("n_set")).where("n_set = needed").select("term", "segment_id")
+    Takes ``(segment_id, token, doc_id)`` and ``(segment_id, doc_id, url)``. Up to ``LITERAL_TERMS`` terms reach the
+    scan as equality filters; more are joined.
+    """
+    asked = terms.select(F.col("term").alias("token"))
+    if has_at_most(asked, LITERAL_TERMS):
+        stems = [row["token"] for row in asked.collect()]
+        hits = postings.where(one_of(stems))
+    else:
+        hits = postings.join(asked, "token", "left_semi")
+    found = hits.join(doc_tables.select("segment_id", "doc_id", "url"), ["segment_id", "doc_id"])
+    return found.select(F.col("token").alias("term"), "segment_id", "url")
+
+
+def one_of(stems: list[str]) -> Column:
+    """Equalities joined by OR, as a balanced tree; the scan tests each, where a long IN list would be its range only."""
+    tests = [F.col("token") == stem for stem in stems] or [F.lit(False)]
+    while len(tests) > 1:
+        tests = [a | b for a, b in zip(tests[::2], tests[1::2])] + tests[len(tests) // 2 * 2 :]
+    return tests[0]
 
 
 def merge_segments(doc_tables: DataFrame, postings: DataFrame) -> tuple[DataFrame, DataFrame]:

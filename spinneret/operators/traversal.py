@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spinneret.operators.documents import first_fetches
 from spinneret.operators.links import resolved_links
-from spinneret.session import cut_lineage, in_buckets
+from spinneret.session import cut_lineage, drop_buckets, in_buckets
 
 # --- Fixed value: attempts after the first failure ------------------------------------------------------------------
 RETRIES = 3
@@ -66,7 +67,17 @@ def reachable(links: DataFrame, seeds: DataFrame, max_hops: int | None = None) -
     spark = links.sparkSession
     edges = _Edges(links)
     frontier = cut_lineage(seeds.select("url").distinct().select("url", F.lit(0).alias("hop")))
-    done, recent, recent_size, settled, names = [frontier], [], 0, None, [edges.name]
+    names = [edges.name]
+    try:
+        return _walk(edges, frontier, max_hops, names)
+    finally:
+        for name in names:
+            drop_buckets(spark, name)
+
+
+def _walk(edges: _Edges, frontier: DataFrame, max_hops: int | None, names: list[str]) -> DataFrame:
+    """The rounds of :func:`reachable`; what is laid out on the way is added to ``names``."""
+    done, recent, recent_size, settled = [frontier], [], 0, None
     while (size := frontier.count()) > 0 and (max_hops is None or len(done) <= max_hops):
         recent.append(frontier.select("url"))
         recent_size += size
@@ -84,14 +95,16 @@ def reachable(links: DataFrame, seeds: DataFrame, max_hops: int | None = None) -
             fresh = fresh.join(F.broadcast(visited) if recent_size <= SMALL_TABLE else visited, "url", "left_anti")
         frontier = cut_lineage(fresh.select("url", F.lit(len(done)).alias("hop")))
         done.append(frontier)
-    for name in names:
-        spark.sql(f"DROP TABLE {name}")
     return reduce(DataFrame.unionByName, done)
 
 
 def crawl(pages: DataFrame, seeds: DataFrame, max_hops: int | None = None) -> DataFrame:
-    """``(url, hop, state)`` of all URLs that a crawl of the snapshot visits: ``fetched`` or ``given_up``."""
-    visited = reachable(resolved_links(pages), seeds, max_hops)
+    """``(url, hop, state)`` of all URLs that a crawl of the snapshot visits: ``fetched`` or ``given_up``.
+
+    A URL is fetched once, so of several snapshots of it only the first one's links count.
+    """
+    fetched = resolved_links(pages).join(first_fetches(pages).select("page_id"), "page_id", "left_semi")
+    visited = reachable(fetched, seeds, max_hops)
     return outcome(visited, pages)
 
 

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spinneret.operators import documents, layout, links, ordering, postings, search, segments, terms, traversal
-from spinneret.plans.crawl_index import publish
+from spinneret.plans.crawl_index import crawl_and_index, publish
 from spinneret.session import cut_lineage, scratch_path
-from spinneret.sources.index_files import text_lines
+from spinneret.sources.index_files import read_segments, text_lines, write_index, write_segment
 from spinneret.sources.tables import fetch, fetch_log, read_table, split_seeds
 from spinneret.streaming import jobs
 
@@ -77,10 +78,20 @@ def page_links(spark, sf_dir):
 
 
 def resolved_links(spark, sf_dir):
-    found = links.resolved_links(_pages(spark, sf_dir))
+    return resolved_links_of(_pages(spark, sf_dir))
+
+
+def resolved_links_of(pages):
+    found = links.resolved_links(pages)
     return found.select("page_id", F.col("position").cast("bigint").alias("position"), "dst_url")
 
 
+def href_cases(spark, sf_dir):
+    """The same links from pages whose root-relative ones are written with line breaks, tabs and entities."""
+    written = F.regexp_replace("html", '(?i)href="/', 'href="\n\t &#x2F;')
+    return resolved_links_of(_pages(spark, sf_dir).withColumn("html", F.regexp_replace(written, "(?i)</a>", "</a><a href=' &#109;ailto:q@r.s\t'></a>")))
+
+
 def unvisited_links(spark, sf_dir):
     left = links.unvisited(links.resolved_links(_pages(spark, sf_dir)), _visited(spark, sf_dir))
     return left.select("page_id", F.col("position").cast("bigint").alias("position"), "dst_url")
@@ -115,6 +126,14 @@ def doc_table(spark, sf_dir):
     return documents.build_doc_table(_pages(spark, sf_dir)).select("doc_id", "url")
 
 
+def doc_table_extend(spark, sf_dir):
+    """Ids of the even pages, extended by all pages: known URLs keep their ids, the others follow."""
+    pages = _pages(spark, sf_dir)
+    known = cut_lineage(documents.build_doc_table(pages.where("page_id % 2 = 0")))
+    more = documents.extend_doc_table(known, pages, known.count())
+    return known.select("doc_id", "url").unionByName(more.select("doc_id", "url"))
+
+
 def inverted_index(spark, sf_dir):
     pages = _pages(spark, sf_dir)
     return postings.inverted_index(pages, documents.build_doc_table(pages))
@@ -166,10 +185,33 @@ def _graph(spark, sf_dir):
     return inside.select(F.col("src").cast("string").alias("src_url"), F.col("dst").cast("string").alias("dst_url"))
 
 
+def _linked_pages(spark, sf_dir):
+    """The pages with tags for those links put at the start of their bodies, without text of their own."""
+    pages = _pages(spark, sf_dir)
+    names = pages.select(F.col("page_id").cast("string").alias("dst_url"), F.col("url").alias("target"))
+    tags = _graph(spark, sf_dir).join(names, "dst_url").groupBy(F.col("src_url").cast("bigint").alias("page_id")).agg(
+        F.array_join(F.collect_list(F.concat(F.lit('<a href="'), F.col("target"), F.lit('"></a>'))), "").alias("tags")
+    )
+    joined = pages.join(tags, "page_id", "left")
+    parts = F.split("html", "(?i)(?<=<body>)", 2)
+    html = F.when(F.size(parts) == 2, F.concat(parts[0], F.coalesce("tags", F.lit("")), parts[1])).otherwise(F.col("html"))
+    return joined.select("page_id", "url", html.alias("html"))
+
+
+def _first_url(spark, sf_dir):
+    return _urls(_pages(spark, sf_dir).where("page_id = 1"), "url")
+
+
 def crawl_reachable(spark, sf_dir):
-    seeds = spark.createDataFrame([("1",)], "url string")
-    found = traversal.reachable(_graph(spark, sf_dir), seeds)
-    return found.select("url", F.col("hop").cast("bigint").alias("hop"))
+    """Pages that a crawl of the linked pages fetches from one seed, with the number of hops."""
+    seen = traversal.crawl(_linked_pages(spark, sf_dir), _first_url(spark, sf_dir)).where("state = 'fetched'")
+    return seen.select("url", F.col("hop").cast("bigint").alias("hop"))
+
+
+def crawl_index(spark, sf_dir):
+    """Crawl the linked pages from one seed and index what is reached."""
+    docs, rows = crawl_and_index(_linked_pages(spark, sf_dir), _first_url(spark, sf_dir))
+    return rows.join(docs.select("doc_id", "url"), "doc_id").select("token", "doc_id", "url")
 
 
 def crawl_outcome(spark, sf_dir):
@@ -195,6 +237,18 @@ def index_text_lines(spark, sf_dir):
     return text_lines(segment(spark, sf_dir)["postings"])
 
 
+def dump_text(spark, sf_dir):
+    """The lines of a written text dump."""
+    path = write_index(segment(spark, sf_dir)["postings"], scratch_path(spark, "dump"), "txt", datetime.now(timezone.utc))
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+def dump_table(spark, sf_dir):
+    """The blocks of a written table dump."""
+    path = write_index(segment(spark, sf_dir)["postings"], scratch_path(spark, "dump"), "parquet", datetime.now(timezone.utc))
+    return spark.read.parquet(path).select("token", "block", "n_docs", F.array_join("doc_ids", ",").alias("doc_ids"))
+
+
 def index_table(spark, sf_dir):
     blocks = postings.posting_blocks(segment(spark, sf_dir)["postings"])
     return blocks.select("token", "block", "n_docs", F.array_join("doc_ids", ",").alias("doc_ids"))
@@ -234,9 +288,10 @@ def token_trie(spark, sf_dir):
 
 
 def segment_roundtrip(spark, sf_dir):
-    """Write a segment of its own with the fixed layout, and join what is read back."""
+    """Write a segment of its own with the fixed layout, and join what is read back. Too long tokens have no slot."""
     written = publish(_pages(spark, sf_dir), scratch_path(spark, "roundtrip"), "fixed", compact=False)
-    offsets = written["token_dict_fixed"].select("token", "offset", "slot")
+    slots = written["token_dict_fixed"].select("token", "slot")
+    offsets = written["token_dict"].select("token", "offset").join(slots, "token", "left")
     return written["postings"].join(offsets, "token").join(written["doc_table"], "doc_id").select(
         "token", "offset", "slot", "url"
     )
@@ -260,17 +315,28 @@ def _split(spark, sf_dir):
     return numbered.select("segment_id", "doc_id", "url"), rows.select("segment_id", "token", "doc_id")
 
 
-def segment_skip(spark, sf_dir):
-    _, rows = _split(spark, sf_dir)
-    tokens = cut_lineage(rows.select("segment_id", "token").distinct())
-    largest = tokens.groupBy("segment_id").count().agg(F.max("count")).first()[0]
-    n_bits = segments.filter_bits(largest)
-    return segments.candidate_segments(_terms(spark, sf_dir), segments.bloom_filters(tokens, n_bits), n_bits)
+def _written_segments(spark, sf_dir):
+    """The index as several written segments in one folder, opened together. They are written once per session."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} in segments")
+    if key not in _published:
+        docs, rows = _split(spark, sf_dir)
+        folder, now = scratch_path(spark, "segments"), datetime.now(timezone.utc)
+        for segment_id in range(N_SEGMENTS):
+            own = F.col("segment_id") == segment_id
+            write_segment(cut_lineage(rows.where(own)), docs.where(own), folder, str(segment_id), True, now)
+        _published[key] = read_segments(spark, folder)
+    return _published[key]
+
+
+def segment_search(spark, sf_dir):
+    written = _written_segments(spark, sf_dir)
+    found = segments.search_segments(_terms(spark, sf_dir), written["postings"], written["doc_table"])
+    return found.select("term", F.col("segment_id").cast("bigint").alias("segment_id"), "url")
 
 
 def segment_merge(spark, sf_dir):
-    docs, rows = _split(spark, sf_dir)
-    merged_docs, merged = segments.merge_segments(docs, rows)
+    written = _written_segments(spark, sf_dir)
+    merged_docs, merged = segments.merge_segments(written["doc_table"], written["postings"])
     return merged.join(merged_docs, "doc_id").select("token", "doc_id", "url")
 
 
@@ -289,8 +355,8 @@ def prefix_search(spark, sf_dir):
 
 
 def prefix_completion(spark, sf_dir):
-    """The first three letters of each benchmark term, completed from the dictionary."""
-    heads = _terms(spark, sf_dir).where(F.length("term") >= 3).select(F.substring("term", 1, 3).alias("prefix")).distinct()
+    """The first letters of each benchmark term, three or all it has, completed from the dictionary."""
+    heads = _terms(spark, sf_dir).select(F.substring("term", 1, 3).alias("prefix")).distinct()
     return search.complete(heads, segment(spark, sf_dir)["token_dict"])
 
 
@@ -348,8 +414,8 @@ def all_queries() -> dict[str, Query]:
         stemmed_vocab, doc_terms, doc_table, inverted_index, document_index, doc_frequency, doc_lookup, doc_listing,
         doc_count, indexed_urls, crawl_reachable, crawl_outcome, retry_ledger, index_text_lines, index_table,
         postings_fixed, posting_gaps, postings_compact, document_compact, token_dict, token_dict_fixed,
-        token_dict_rejects, token_trie, segment_roundtrip, segment_meta, segment_skip, segment_merge, token_lookup,
+        token_dict_rejects, token_trie, segment_roundtrip, segment_meta, segment_search, segment_merge, token_lookup,
         search_urls, prefix_search, prefix_completion, token_range, sampled_index, sampled_lookup, stream_index,
-        stream_visited, stream_retry,
+        stream_visited, stream_retry, href_cases, doc_table_extend, crawl_index, dump_text, dump_table,
     ]
     return {query.__name__: query for query in listed}

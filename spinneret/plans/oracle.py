@@ -217,24 +217,6 @@ _CTES["trie_steps"] = """
            CASE WHEN depth < length(token) THEN substr(token, depth + 1, 1) END AS next
     FROM (SELECT token, "offset", unnest(range(0, length(token) + 1)) AS depth FROM dict)"""
 
-# --- segments -------------------------------------------------------------------------------------------------------
-_CTES["segment_tokens"] = """
-    SELECT DISTINCT d.page_id % 4 AS segment_id, p.token FROM postings p JOIN doc_table d ON p.doc_id = d.doc_id"""
-_CTES["filter_size"] = """
-    SELECT ((max(n) * 10 + 31) // 32) * 32 AS n_bits
-    FROM (SELECT count(*) AS n FROM segment_tokens GROUP BY segment_id)"""
-
-
-def _probe_positions(source: str, column: str) -> str:
-    half = "CAST('0x' || substr(md5({0}), {1}, 14) AS BIGINT)"
-    return f"""
-    SELECT DISTINCT *, ({half.format(column, 1)} + i * {half.format(column, 15)}) % n_bits AS position
-    FROM (SELECT *, unnest(range(0, 7)) AS i FROM {source}) CROSS JOIN filter_size"""
-
-
-_CTES["set_bits"] = f"SELECT DISTINCT segment_id, position FROM ({_probe_positions('segment_tokens', 'token')})"
-_CTES["probes"] = f"SELECT DISTINCT term, position FROM ({_probe_positions('asked', 'term')})"
-
 # --- queries --------------------------------------------------------------------------------------------------------
 _QUERIES: dict[str, str] = {
     "seed_urls": "SELECT url FROM pages UNION ALL SELECT url || '#again' FROM pages",
@@ -264,7 +246,23 @@ _QUERIES: dict[str, str] = {
     "doc_count": "SELECT count(*) AS n_docs FROM doc_table",
     "indexed_urls": "SELECT doc_id, url FROM doc_table WHERE doc_id IN (SELECT doc_id FROM postings)",
     "crawl_reachable": """
-        SELECT CAST(url AS VARCHAR) AS url, min(hop) AS hop FROM walk GROUP BY url""",
+        SELECT p.url, min(w.hop) AS hop FROM walk w JOIN pages p ON p.page_id = w.page_id GROUP BY p.url""",
+    "crawl_index": """
+        SELECT s.stem AS token, r.doc_id, r.url
+        FROM (SELECT row_number() OVER (ORDER BY url) - 1 AS doc_id, page_id, url
+              FROM pages WHERE page_id IN (SELECT page_id FROM walk)) r
+        JOIN tokens t ON t.page_id = r.page_id JOIN stems s ON t.token = s.token
+        GROUP BY s.stem, r.doc_id, r.url""",
+    "href_cases": """
+        SELECT page_id, 2 * position AS position, dst_url FROM links
+        UNION ALL
+        SELECT page_id, 2 * position + 1, 'mailto:q@r.s' FROM links""",
+    "doc_table_extend": """
+        SELECT row_number() OVER (ORDER BY page_id % 2, url) - 1 AS doc_id, url FROM pages""",
+    "dump_text": """
+        SELECT 'Token: Token[key=' || token || ']' AS line FROM (SELECT DISTINCT token FROM postings)
+        UNION ALL
+        SELECT '------DocId: ' || doc_id || '-----' AS line FROM postings""",
     "crawl_outcome": """
         SELECT state, hop, count(*) AS n_urls
         FROM (SELECT DISTINCT url, 'fetched' AS state, CAST(0 AS BIGINT) AS hop FROM pages
@@ -307,17 +305,16 @@ _QUERIES: dict[str, str] = {
                count(DISTINCT next) AS n_children
         FROM trie_steps GROUP BY prefix, depth""",
     "segment_roundtrip": """
-        SELECT p.token, f."offset", f.slot, d.url
-        FROM postings p JOIN doc_table d ON p.doc_id = d.doc_id
-        JOIN (SELECT token, "offset", row_number() OVER (ORDER BY token) - 1 AS slot FROM fixed) f ON p.token = f.token""",
+        SELECT p.token, f."offset", s.slot, d.url
+        FROM postings p JOIN doc_table d ON p.doc_id = d.doc_id JOIN fixed f ON p.token = f.token
+        LEFT JOIN (SELECT token, row_number() OVER (ORDER BY token) - 1 AS slot FROM fixed WHERE strlen(token) <= 64) s
+        ON p.token = s.token""",
     "segment_meta": """
         SELECT 'pages' AS segment_id, (SELECT count(*) FROM frequency) AS token_count,
                (SELECT count(*) FROM doc_table) AS doc_count""",
-    "segment_skip": """
-        SELECT p.term, b.segment_id
-        FROM probes p JOIN set_bits b ON p.position = b.position
-        JOIN (SELECT term, count(*) AS needed FROM probes GROUP BY term) n ON p.term = n.term
-        GROUP BY p.term, b.segment_id HAVING count(*) = max(n.needed)""",
+    "segment_search": """
+        SELECT p.token AS term, d.page_id % 4 AS segment_id, d.url FROM postings p JOIN doc_table d ON p.doc_id = d.doc_id
+        WHERE p.token IN (SELECT term FROM asked)""",
     "segment_merge": """
         SELECT p.token, p.doc_id, d.url FROM postings p JOIN doc_table d ON p.doc_id = d.doc_id""",
     "token_lookup": 'SELECT token, n_docs, "offset" FROM dict WHERE token IN (SELECT term FROM asked)',
@@ -327,8 +324,8 @@ _QUERIES: dict[str, str] = {
     "prefix_search": "SELECT token, n_docs, \"offset\" FROM dict WHERE starts_with(token, 'th')",
     "prefix_completion": """
         SELECT a.prefix, d.token, d."offset"
-        FROM (SELECT DISTINCT left(term, 3) AS prefix FROM asked WHERE length(term) >= 3) a
-        JOIN dict d ON left(d.token, 3) = a.prefix""",
+        FROM (SELECT DISTINCT left(term, 3) AS prefix FROM asked) a
+        JOIN dict d ON left(d.token, length(a.prefix)) = a.prefix""",
     "token_range": "SELECT token, n_docs, \"offset\" FROM dict WHERE token BETWEEN 'con' AND 'est'",
     "sampled_index": 'SELECT block, token, "offset", n_tokens FROM samples',
     "sampled_lookup": "SELECT a.term, max(s.block) AS block FROM asked a LEFT JOIN samples s ON s.token <= a.term GROUP BY a.term",
@@ -336,11 +333,15 @@ _QUERIES: dict[str, str] = {
     "stream_visited": "SELECT DISTINCT url FROM queue",
 }
 _QUERIES["stream_retry"] = _QUERIES["retry_ledger"]
-
-_WALK = """walk(url, hop) AS (
-    SELECT CAST(1 AS BIGINT), CAST(0 AS BIGINT)
-    UNION
-    SELECT e.dst, w.hop + 1 FROM walk w JOIN edges e ON w.url = e.src WHERE w.hop < 64)"""
+_QUERIES["dump_table"] = _QUERIES["index_table"]
+
+# Pages reached with each number of hops; a shortest way has fewer hops than there are pages.
+_CTES["walk"] = """
+    WITH RECURSIVE way(page_id, hop) AS (
+        SELECT CAST(1 AS BIGINT), CAST(0 AS BIGINT)
+        UNION
+        SELECT e.dst, w.hop + 1 FROM way w JOIN edges e ON w.page_id = e.src WHERE w.hop < (SELECT count(*) FROM pages))
+    SELECT page_id, hop FROM way"""
 _CTES["edges"] = """
     SELECT page_id AS src, dst
     FROM (SELECT page_id, unnest([2 * page_id + 1, 2 * page_id + 2,
@@ -359,8 +360,6 @@ def _statement(name: str) -> str:
             if cte not in needed and re.search(rf"\b(?:FROM|JOIN|,)\s+{cte}\b", text):
                 needed.add(cte)
                 todo.append(_CTES[cte])
-    if re.search(r"\bFROM walk\b", body):
-        return f"WITH RECURSIVE edges AS ({_CTES['edges']}),\n{_WALK}\n{body}"
     order = _definition_order(needed)
     tables = ",\n".join(f"{cte} AS MATERIALIZED ({_CTES[cte]})" for cte in order)
     if not tables:

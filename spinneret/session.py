@@ -57,14 +57,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def has_at_most(df: DataFrame, n_rows: int) -> bool:
-    """Size check before a broadcast; reads no more rows than it has to."""
-    return df.limit(n_rows + 1).count() <= n_rows
+    """Size check before a broadcast, for a frame that is cheap to read again. Each task counts its own rows."""
+    return df.count() <= n_rows
 
 
 def in_buckets(df: DataFrame, key: str) -> tuple[str, DataFrame]:
     """Name and rows of a written table in hash buckets of ``key``; joins on ``key`` read it without a shuffle.
 
-    One key must not hold a large part of the rows, since a bucket is one task. The caller drops the name when done.
+    One key must not hold a large part of the rows, since a bucket is one task. The caller ends with
+    :func:`drop_buckets`.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -72,3 +73,12 @@ def in_buckets(df: DataFrame, key: str) -> tuple[str, DataFrame]:
     writer = df.repartition(n, key).write.format("parquet").bucketBy(n, key)
     writer.option("path", scratch_path(spark, "buckets")).saveAsTable(name)
     return name, spark.table(name)
+
+
+def drop_buckets(spark: SparkSession, name: str) -> None:
+    """Forget a table of :func:`in_buckets` and delete its files."""
+    where = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if where:
+        path = spark._jvm.org.apache.hadoop.fs.Path(where["data_type"])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

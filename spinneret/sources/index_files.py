@@ -12,7 +12,7 @@ from spinneret.operators.postings import posting_blocks
 from spinneret.operators.segments import segment_meta
 from spinneret.session import cut_lineage
 
-SEGMENT_TABLES = ["postings", "token_dict", "token_dict_fixed", "token_dict_trie", "doc_table"]
+SEGMENT_TABLES = ["postings", "token_dict", "token_dict_fixed", "token_dict_rejects", "token_dict_trie", "doc_table"]
 
 
 def text_lines(postings: DataFrame) -> DataFrame:
@@ -50,8 +50,9 @@ def write_index(postings: DataFrame, base: str, fmt: str, at: datetime) -> str:
     return path
 
 
-def _write_sorted(df: DataFrame, path: str, *keys: str, **options: str) -> None:
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.options(**options).parquet(path)
+def _write_sorted(df: DataFrame, path: str, *keys: str, n_files: int | None = None, **options: str) -> None:
+    ranged = df.repartitionByRange(n_files, *keys) if n_files else df.repartitionByRange(*keys)
+    ranged.sortWithinPartitions(*keys).write.options(**options).parquet(path)
 
 
 def write_segment(
@@ -59,6 +60,8 @@ def write_segment(
 ) -> str:
     """Write one segment: postings, three dictionaries, document table, metadata. The folder must be new.
 
+    Tokens too long for the fixed-width dictionary are a table of their own.
+
     ``token`` gets a Parquet Bloom filter, so that a look-up skips the files that cannot hold it.
     """
     root = f"{folder.rstrip('/')}/segment_id={segment_id}"
@@ -69,9 +72,10 @@ def write_segment(
         "parquet.bloom.filter.enabled#token": "true",
         "parquet.bloom.filter.expected.ndv#token": str(2 * token_dict.count() // n_files + 1),
     }
-    _write_sorted(postings.select("token", "doc_id"), f"{root}/postings", "token", "doc_id", **bloom)
-    _write_sorted(token_dict, f"{root}/token_dict", "token", **bloom)
+    _write_sorted(postings.select("token", "doc_id"), f"{root}/postings", "token", "doc_id", n_files=n_files, **bloom)
+    _write_sorted(token_dict, f"{root}/token_dict", "token", n_files=n_files, **bloom)
     _write_sorted(layouts.fixed_dictionary(token_dict), f"{root}/token_dict_fixed", "slot")
+    _write_sorted(layouts.too_long_tokens(token_dict), f"{root}/token_dict_rejects", "token")
     _write_sorted(layouts.trie(token_dict), f"{root}/token_dict_trie", "prefix")
     _write_sorted(doc_table.select("doc_id", "url"), f"{root}/doc_table", "doc_id")
     meta = segment_meta(postings, doc_table, segment_id)
@@ -80,6 +84,15 @@ def write_segment(
     return root
 
 
+def read_segments(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of all segments in a folder by name, each with the column ``segment_id``."""
+    base = folder.rstrip("/")
+    return {
+        name: spark.read.option("basePath", base).parquet(f"{base}/segment_id=*/{name}").withColumn("segment_id", F.col("segment_id").cast("string"))
+        for name in SEGMENT_TABLES
+    }
+
+
 def read_segment(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The tables of one segment by name; the folder's own name is not read as a column."""
     tables = {name: spark.read.parquet(f"{root}/{name}") for name in SEGMENT_TABLES}

@@ -16,7 +16,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def split_seeds(lists: DataFrame, column: str) -> DataFrame:
     """``(url)``: the parts of comma-separated seed lists, trimmed, blanks dropped, duplicates kept."""
     parts = lists.select(F.explode(F.split(column, ",")).alias("part"))
-    return parts.select(F.trim("part").alias("url")).where(F.col("url") != "")
+    trimmed = F.regexp_replace("part", r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return parts.select(trimmed.alias("url")).where(F.col("url") != "")
 
 
 def seed_urls(spark: SparkSession, text: str | None) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import time
 from urllib.parse import urljoin
 
 import pytest
@@ -28,6 +29,9 @@ HTML = [
     ("<body>fish&ampchips &am not &unknown; ent", ["fish", "chips", "am", "not", "unknown", "ent"]),
     ("<body>1 < 2 and aa<bb cc", ["and", "aa"]),
     ("<body class='x'>ÄÖ für 825 a UPPER", ["825", "upper"]),
+    ("<body>foo&shy;bar so\u00adft&#8203;er &ZeroWidthSpace;x&#xAD;y", ["foobar", "softer", "xy"]),
+    ("<body>&#8490;ey \u212aey &#x212a;ey x&Idot;y x\u0130y x&#304;y", ["key", "key", "key", "xi", "xi", "xi"]),
+    ("<body>aa <a " + "k='v' " * 65 + 'title="left > right" href="/z">bb</a>', ["aa", "bb"]),
     ("<body></body>", []),
     ("", []),
 ]
@@ -43,6 +47,33 @@ def test_visible_tokens(spark):
     assert {i: [t for t in text[i].split() if len(t) > 1] for i in text} == found
 
 
+def test_links_behind_many_attributes(spark):
+    tags = ["<a " + "k='v' " * n + 'title="left > right" href="/z">x</a>' for n in (0, 63, 64, 65, 100_000)]
+    pages = spark.createDataFrame(list(enumerate(tags)), "page_id bigint, html string").withColumn("url", F.lit("http://s.com/d"))
+    assert [r.dst_url for r in resolved_links(pages).collect()] == ["http://s.com/z"] * len(tags)
+
+
+ODD_HREFS = [
+    ("\n  /x\n", "http://s.com/x"), ("\t/tab", "http://s.com/tab"), ("/li\r\nne", "http://s.com/line"), ("&#109;ailto:q@r.s", "mailto:q@r.s"),
+    ("/a&#47;b&#x2f;c", "http://s.com/a/b/c"), ("/p&eacute;q", "http://s.com/péq"), ("/x?a=1&amp;b=2&copy=3&AMP;d", "http://s.com/x?a=1&b=2&copy=3&d"),
+    ("/u&#x1F600;", "http://s.com/u\U0001f600"), ("/bad&#xD800;&#1114112;&#0;", "http://s.com/bad\ufffd\ufffd\ufffd"), ("/no&such;&;&#;&#x;", "http://s.com/no&such;&;&#;&#x;"),
+]
+
+
+def test_hrefs_with_controls_and_entities(spark):
+    rows = [(i, f'<a href="{href}">x</a>') for i, (href, _) in enumerate(ODD_HREFS)]
+    pages = spark.createDataFrame(rows, "page_id bigint, html string").withColumn("url", F.lit("http://s.com/d/p.html"))
+    got = {r.page_id: r.dst_url for r in resolved_links(pages).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(ODD_HREFS)}
+
+
+def test_long_tokens_are_stemmed_in_linear_time(spark):
+    words = [("ab9e" * 250_000 + end,) for end in ("d", "us", "s", "")]
+    started = time.time()
+    got = [r.stem for r in with_stem(spark.createDataFrame(words, "token string").repartition(4), "token").collect()]
+    assert len(got) == 4 and time.time() - started < 30
+
+
 def test_hostile_markup_does_not_overflow(spark):
     quotes = "<body>aa <a " + "x='1' y=\"2\" ' \" " * 20000
     attributes = "<body>bb <p " + "k=v " * 20000 + ">cc"

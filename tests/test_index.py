@@ -9,7 +9,7 @@ from spinneret.operators.documents import (
 )
 from spinneret.operators.ordering import dense_rank, in_ranges, offsets, running_max
 from spinneret.plans.crawl_index import build_index, crawl_and_index
-from spinneret.sources.index_files import read_segment, write_index, write_segment
+from spinneret.sources.index_files import read_segment, read_segments, write_index, write_segment
 from spinneret.sources.tables import seed_urls
 
 NOW = datetime(2025, 6, 23, 10, 30)
@@ -156,15 +156,27 @@ def test_index_dumps(spark, site, site_index, tmp_path):
         write_index(rows, str(tmp_path / "dump"), "xml", NOW)
 
 
-def test_segment_filters_have_no_false_negatives(spark):
-    rng = random.Random(4)
-    held = {(s, f"w{rng.randint(0, 3000)}") for s in range(4) for _ in range(500)}
-    tokens = spark.createDataFrame(list(held), "segment_id int, token string")
-    n_bits = segments.filter_bits(500)
-    asked = spark.createDataFrame([(f"w{i}",) for i in range(3001)], "term string")
-    hits = {(r.segment_id, r.term) for r in segments.candidate_segments(asked, segments.bloom_filters(tokens, n_bits), n_bits).collect()}
-    assert held <= hits
-    assert len(hits - held) < 0.03 * (4 * 3001 - len(held))
+def test_search_reads_several_written_segments(spark, tmp_path):
+    rows, docs = [], []
+    for segment in range(3):
+        own = spark.createDataFrame([(f"w{i}", i % 7) for i in range(40 + segment)], "token string, doc_id bigint")
+        urls = spark.createDataFrame([(i, f"u{segment}-{i}") for i in range(7)], "doc_id bigint, url string")
+        write_segment(own, urls, str(tmp_path), f"s{segment}", True, NOW)
+        rows += [(f"s{segment}", f"w{i}", f"u{segment}-{i % 7}") for i in range(40 + segment)]
+    written = read_segments(spark, str(tmp_path))
+    for asked in (["w3", "w41", "none"], [f"w{i}" for i in range(30)], []):
+        terms = spark.createDataFrame([(t,) for t in asked], "term string")
+        got = segments.search_segments(terms, written["postings"], written["doc_table"])
+        assert {(r.segment_id, r.term, r.url) for r in got.collect()} == {r for r in rows if r[1] in asked}
+
+
+def test_round_trip_keeps_tokens_too_long_for_a_record(spark, tmp_path):
+    rows = spark.createDataFrame([("x" * 80, 0), ("word", 0)], "token string, doc_id bigint")
+    docs = spark.createDataFrame([(0, "u")], "doc_id bigint, url string")
+    root = write_segment(rows, docs, str(tmp_path), "long", False, NOW)
+    written = read_segment(spark, root)
+    assert [r.token for r in written["token_dict_rejects"].collect()] == ["x" * 80]
+    assert written["postings"].join(written["token_dict"], "token").count() == 2
 
 
 def test_merged_segments_are_the_whole_index(spark):
