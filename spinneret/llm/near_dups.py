@@ -8,7 +8,8 @@ estimated similarity. All candidates are confirmed on the full shingle sets.
 
 Two rounds keep the number of candidates in proportion to the texts, also in a region of thousands of near copies: the
 first takes each text's ``NEAR`` best neighbours; the second, only in regions that the first left in several
-components, its ``WIDE`` best neighbours in other components. Texts in one component need no further links.
+components, its ``WIDE`` best neighbours in other components, asked from the smaller one. Texts in one component need no
+further links. In each order only those neighbours count that no earlier order had in one region with the text.
 
 Exact copies are one text throughout. A prefix so common that the whole signature is shared by more than ``REGION``
 texts is cut into blocks, and each block gets the least text of all as a member, so the blocks stay connected.
@@ -29,7 +30,7 @@ from spinneret.session import cut_lineage
 
 VALUES, TREES = 128, 16
 DEPTHS = (4, 6, 8, 12, 16, 32, 64, 128)
-REGION, NEAR, WIDE = 2_000, 4, 64
+REGION, NEAR, WIDE = 2_000, 4, 16
 #: Document numbers that are broadcast; of 8 bytes each.
 SMALL_IDS = 1 << 20
 #: Standard errors by which an estimate may fall short of the similarity asked for.
@@ -61,54 +62,72 @@ def _keyed(rows: DataFrame, depth: int) -> DataFrame:
 
 
 def regions(texts: DataFrame) -> DataFrame:
-    """``(region, rep, size)`` over all trees, each region with 2 to ``REGION`` + 1 of the ``texts(rep, sig)``."""
+    """``(region, tree, rep, size, crowded)`` over all trees, each region with 2 to ``REGION`` + 1 of ``texts(rep, sig)``.
+
+    ``crowded`` says that one of the text's prefixes at the first depth is shared by more than ``REGION`` texts.
+    """
     rows = texts.select("rep", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    found = []
+    found, crowds = [], None
     for depth in DEPTHS:
         keyed = _keyed(rows, depth)
         sizes = keyed.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("first")).where("size > 1")
         shared = cut_lineage(keyed.join(sizes, "region"))
-        found.append(shared.where(F.col("size") <= REGION).select("region", "rep", "size"))
+        found.append(shared.where(F.col("size") <= REGION).select("region", "tree", "rep", "size"))
         crowded = shared.where(F.col("size") > REGION)
         if crowded.isEmpty():
             break
+        crowds = crowded.select("rep").distinct() if crowds is None else crowds
         rows = crowded.select("rep", "tree").join(texts, "rep")
     else:
         block = F.expr(f"pmod(xxhash64(rep), cast(ceil(2 * size / {REGION}) as int))")
         blocks = crowded.withColumn("region", F.xxhash64("region", block))
-        pivots = blocks.select("region", F.col("first").alias("rep"), "size")
-        found.append(blocks.select("region", "rep", "size").unionByName(pivots).distinct())
+        pivots = blocks.select("region", "tree", F.col("first").alias("rep"), "size")
+        found.append(blocks.select("region", "tree", "rep", "size").unionByName(pivots).distinct())
     whole = found[0]
     for more in found[1:]:
         whole = whole.unionByName(more)
-    return whole
-
-
-def _pairs_of(region: np.ndarray, rep: np.ndarray, comp: np.ndarray, sig: np.ndarray, least: float, most: int) -> tuple[list, list]:
-    """Candidate pairs of whole regions, given in order: the best neighbours of each text, in other components only."""
+    if crowds is None:
+        return whole.withColumn("crowded", F.lit(False))
+    marked = whole.join(crowds.withColumn("_crowded", F.lit(True)), "rep", "left")
+    return marked.withColumn("crowded", F.coalesce("_crowded", F.lit(False))).drop("_crowded")
+
+
+def _pairs_of(rows: pd.DataFrame, sig: np.ndarray, least: float, most: int) -> tuple[list, list]:
+    """Candidate pairs of whole regions, given in order: the best fresh neighbours of each text in other components."""
+    region, rep, comp, crowded = (rows[c].to_numpy() for c in ("region", "rep", "comp", "crowded"))
+    tree = rows["tree"].to_numpy()
+    # The first prefixes of all trees; a pair that shares an earlier one has met there, unless that tree went deeper.
+    prefix = np.ascontiguousarray(sig.reshape(len(sig), TREES, VALUES // TREES)[:, :, : DEPTHS[0]]).view(np.uint64)[:, :, 0]
     left, right = [], []
     starts = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
     ends = np.append(starts[1:], len(region))
     two = starts[ends - starts == 2]
     alike = ((sig[two] == sig[two + 1]).mean(axis=1) >= least) & (comp[two] != comp[two + 1])
+    met = ((prefix[two] == prefix[two + 1]) & (np.arange(TREES) < tree[two][:, None])).any(axis=1)
+    alike &= ~met | crowded[two] | crowded[two + 1]
     left.append(rep[two[alike]])
     right.append(rep[two[alike] + 1])
     for start, end in zip(starts, ends):
         if end - start < 3:
             continue
-        block, own, ids = sig[start:end], comp[start:end], rep[start:end]
+        block, own, ids, full = sig[start:end], comp[start:end], rep[start:end], crowded[start:end]
+        earlier = prefix[start:end, : tree[start]]
+        _, group, sizes = np.unique(own, return_inverse=True, return_counts=True)
+        weight = sizes[group]
         for row in range(len(block)):
-            alike = (block == block[row]).mean(axis=1)
-            near = np.flatnonzero((alike >= least) & (own != own[row]))
+            fresh = ~(earlier == earlier[row]).any(axis=1) | full | full[row]
+            asked = np.flatnonzero(fresh & (own != own[row]) & (weight >= weight[row]))
+            alike = (block[asked] == block[row]).mean(axis=1)
+            near, alike = asked[alike >= least], alike[alike >= least]
             if len(near) > most:
-                near = near[np.argsort(-alike[near], kind="stable")[:most]]
+                near = near[np.argsort(-alike, kind="stable")[:most]]
             left.append(np.full(len(near), ids[row]))
             right.append(ids[near])
     return left, right
 
 
 def candidates(members: DataFrame, texts: DataFrame, percent: int, most: int) -> DataFrame:
-    """``(a, b)``, a < b, from ``members(region, rep, comp)``. Regions are compared as they stream by, one at a time."""
+    """``(a, b)``, a < b, from ``members(region, tree, rep, comp, crowded)``. Regions are compared as they stream by, one at a time."""
     share = percent / 100
     least = share - SLACK * (share * (1 - share) / VALUES) ** 0.5
 
@@ -126,11 +145,11 @@ def candidates(members: DataFrame, texts: DataFrame, percent: int, most: int) ->
             if not len(now):
                 continue
             sig = np.frombuffer(b"".join(now["sig"]), np.uint16).reshape(len(now), VALUES)
-            pairs = _pairs_of(now["region"].to_numpy(), now["rep"].to_numpy(), now["comp"].to_numpy(), sig, least, most)
+            pairs = _pairs_of(now, sig, least, most)
             a, b = np.concatenate(pairs[0]), np.concatenate(pairs[1])
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
-    rows = members.join(texts, "rep").select("region", "rep", "comp", "sig")
+    rows = members.join(texts, "rep").select("region", "tree", "rep", "comp", "crowded", "sig")
     rows = rows.repartition("region").sortWithinPartitions("region", "rep")
     return rows.mapInPandas(compare, "a bigint, b bigint").distinct()
 
@@ -171,6 +190,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     belongs to its copies' component, and has a null one if it has no copy with an id or no words. Repeated rows get equal results. Other
     columns of ``docs`` play no part.
     """
+    return _resolved(docs, width, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _resolved(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The result with the keys ``k1, k2`` of the word sequences."""
     sketches = cut_lineage(sketch(docs, width))
     worded = sketches.where("n_shingles > 0")
     groups = cut_lineage(worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")).where("rep is not null"))
@@ -182,7 +206,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     comps = cut_lineage(components(links))
 
     large = members.where(F.col("size") > NEAR + 1).join(comps.withColumnRenamed("id", "rep"), "rep", "left")
-    large = large.select("region", "rep", F.coalesce("component", "rep").alias("comp"))
+    large = large.select("region", "tree", "rep", "crowded", F.coalesce("component", "rep").alias("comp"))
     split = large.groupBy("region").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
     more = candidates(large.join(split.select("region"), "region", "left_semi"), texts, percent, WIDE)
     more = cut_lineage(more.join(tried, ["a", "b"], "left_anti"))
@@ -194,18 +218,35 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     named = named.select("k1", "k2", F.coalesce("component", "rep").alias("component_id"))
     found = sketches.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select("doc_id", "n_shingles", own.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = found.select("doc_id", "n_shingles", "k1", "k2", own.alias("component_id"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component, with its own columns; of repeated rows one stays."""
-    kept = cut_lineage(near_duplicates(docs, width, percent).where("kept").select("doc_id", "n_shingles"))
-    ids = kept.where("doc_id is not null").select("doc_id").distinct()
-    rest = docs.join(ids, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
-    n_rows, n_ids = kept.agg(F.count(F.lit(1)), F.countDistinct("doc_id")).first()
-    if n_rows > n_ids:  # repeated rows, or rows without an id
-        rest = rest.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(rest.where("doc_id is null").dropDuplicates(["text"]))
-    return rest.select(*docs.columns)
+    """One document of each component, with its own columns; of the rows of one doc_id one stays.
+
+    Of rows without an id that have the same words one stays, unless a row with an id has them too; those without words
+    all stay.
+    """
+    found = cut_lineage(_resolved(docs, width, percent))
+    named = found.where("kept and doc_id is not null")
+    rest = docs.join(named.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    n_rows, n_ids = named.agg(F.count(F.lit(1)), F.countDistinct("doc_id")).first()
+    if n_rows > n_ids:
+        rest = rest.dropDuplicates(["doc_id"])
+    if found.where("doc_id is null").isEmpty():
+        return rest
+
+    @F.pandas_udf("struct<k1: bigint, k2: bigint>")
+    def key(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([text_key(t) for t in texts], columns=["k1", "k2"])
+
+    nameless = docs.where("doc_id is null").select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    nameless = nameless.withColumn("key", key(F.coalesce("doc.text", F.lit("")))).select("doc", "key.k1", "key.k2")
+    worded = nameless.where("k1 <> 0 or k2 <> 0").dropDuplicates(["k1", "k2"])
+    worded = worded.join(found.where("doc_id is not null").select("k1", "k2").distinct(), ["k1", "k2"], "left_anti")
+    blank = nameless.where("k1 = 0 and k2 = 0")
+    return rest.unionByName(worded.select("doc.*")).unionByName(blank.select("doc.*"))
 
 
 #: The same as :func:`near_duplicates` for 3 words and 85 %, as a join of all shingles.
