@@ -44,14 +44,16 @@ def stemmed_vocabulary(token_rows: DataFrame) -> DataFrame:
     return with_stem(token_rows.select("token").distinct(), "token").select("token", "stem")
 
 
-def stem_rows(token_rows: DataFrame, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+def stem_rows(token_rows: DataFrame, broadcast_words: int = BROADCAST_WORDS, counted: DataFrame | None = None) -> DataFrame:
     """Add ``stem`` to rows with a ``token``: each distinct word is stemmed once and looked up.
 
+    ``counted`` are the same rows to take the vocabulary from, where those are cheaper to read.
+
     A vocabulary of at most ``broadcast_words`` words is broadcast. Of a larger one, only the words that make up more
     than 1/``broadcast_words`` of all rows are, and there cannot be more than ``broadcast_words`` of those; they hold
     nearly all rows and all hot keys. The other words go through a shuffled join, in which no key is hot.
     """
-    words = cut_lineage(with_stem(vocabulary(token_rows), "token"))
+    words = cut_lineage(with_stem(vocabulary(token_rows if counted is None else counted), "token"))
     if has_at_most(words, broadcast_words):
         return token_rows.join(F.broadcast(words.select("token", "stem")), "token")
     n_rows = words.agg(F.sum("n_rows")).first()[0]
@@ -67,11 +69,14 @@ def distinct_stems(token_lists: DataFrame, *keys: str) -> DataFrame:
 
     Two words of a document may share a stem, so duplicates go after stemming; words that occur twice are gone already,
     which leaves a hot token at most one row per document. The lists are written down first: they are read twice, for
-    the vocabulary and for the look-up, and are much smaller than the pages they were parsed from.
+    the vocabulary and for the look-up, and are much smaller than the pages they were parsed from. They are dealt out by
+    document while they are still lists; a broadcast look-up keeps each document's stems together, so the duplicates go
+    where they are, without a shuffle of single stems.
     """
     token_lists = cut_lineage(token_lists)
-    words = token_lists.select(*keys, F.explode("tokens").alias("token"))
-    stems = stem_rows(words).select(*keys, F.col("stem").alias("token"))
+    exploded = [*keys, F.explode("tokens").alias("token")]
+    words = token_lists.repartition(*keys).select(*exploded)
+    stems = stem_rows(words, counted=token_lists.select(*exploded)).select(*keys, F.col("stem").alias("token"))
     return stems.dropDuplicates([*keys, "token"])
 
 
