@@ -5,7 +5,7 @@ context and would take at least 2^``MIN_BITS`` guesses. The cost of a value is t
 into words, dates, repeats, keyboard walks and brute-force spans, computed from left to right; a segment's cost is the
 logarithm of the guesses that a pattern-aware attacker would need for it.
 
-The words are the corpus's own ``DICTIONARY`` most frequent ones, ranked, after a short list of common passwords. They
+The words are the corpus's own most frequent ones, at most ``DICTIONARY``, ranked, after a short list of common passwords. They
 are counted over all documents with map-side combining; the list that is broadcast has that fixed size.
 """
 
@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spinneret.session import cut_lineage
+
 DICTIONARY = 20_000
 WORD_LENGTHS = (3, 20)
 MIN_BITS = 30.0
@@ -137,11 +139,22 @@ def joined(spans: list[tuple[int, int, int, float]]) -> str:
 
 
 def word_ranks(docs: DataFrame, size: int = DICTIONARY) -> dict[str, int]:
-    """The common passwords, then the corpus's most frequent words of letters, each with its rank."""
+    """The common passwords, then the corpus's most frequent words of letters, at most ``size``, each with its rank.
+
+    How frequent a word has to be is read off a histogram of the counts, so no task sends more than the words taken.
+    """
     words = docs.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")).where(F.length("word").between(*WORD_LENGTHS))
-    top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(size)
+    counts = cut_lineage(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    step = F.floor(F.log2("n") * 16).cast("int")
+    taken, least = 0, None
+    for row in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        taken += row["count"]
+        if taken > size:
+            break
+        least = row["step"]
+    top = [] if least is None else counts.where(step >= least).collect()
     ranks = {word: i for i, word in enumerate(COMMON, 1)}
-    for row in top.collect():
+    for row in sorted(top, key=lambda r: (-r["n"], r["word"])):
         ranks.setdefault(row["word"], len(ranks) + 1)
     return ranks
 

@@ -335,3 +335,12 @@ def test_edit_digest(edge_docs, no_docs, tables):
         assert r["near_next"] == fingerprints.likeness(fingerprints.fingerprint(text), fingerprints.fingerprint(following))
     assert fingerprints.edit_digest(edge_docs).count() == 15 and fingerprints.edit_digest(no_docs).count() == 0
     assert fingerprints.edit_digest(tables([(5, "abcdef")], "doc_id bigint, text string")).collect()[0]["edited_sha256"] == hashlib.sha256(b"abcabc").hexdigest()
+
+
+def test_dictionary_is_the_most_frequent_words(tables):
+    rows = [(i, " ".join(f"word{'abcdefghij'[j]}" for j in range(10) if i % (j + 1) == 0) + " 12 ab") for i in range(300)]
+    docs = tables(rows, "doc_id bigint, text string")
+    ranks = secret_scan.word_ranks(docs, 4)
+    own = [w for w in sorted(ranks, key=ranks.get) if w.startswith("word")]
+    assert own == ["worda", "wordb", "wordc", "wordd"]
+    assert "wordj" in secret_scan.word_ranks(docs) and secret_scan.word_ranks(docs.limit(0)) == dict(zip(secret_scan.COMMON, range(1, 99)))
