@@ -6,10 +6,13 @@ a set of texts with a common prefix. Its depth adapts: it starts at ``DEPTHS[0]`
 prefix is shared by more than ``REGION`` texts. Inside a region each text's candidates are its neighbours of highest
 estimated similarity. All candidates are confirmed on the full shingle sets.
 
-Two rounds keep the number of candidates in proportion to the texts, also in a region of thousands of near copies: the
-first takes each text's ``NEAR`` best neighbours; the second, only in regions that the first left in several
-components, its ``WIDE`` best neighbours in other components, asked from the smaller one. Texts in one component need no
-further links. In each order only those neighbours count that no earlier order had in one region with the text.
+Rounds keep the number of candidates in proportion to the texts, also in a region of thousands of near copies: the
+first takes each text's ``NEAR`` best neighbours, every later one ``WIDER`` times as many of its best neighbours in other
+components, asked from the smaller one. Texts in one component need no further links. A region is done once none of its
+texts had more neighbours than it could take, so at the end no candidate of any region is left out. Later rounds
+estimate from ``FINE`` further min-hash values, one bit of each, made for the texts of unfinished regions only: where
+many texts lie just below the threshold, few of their pairs are left to confirm. In each order only
+those neighbours count that no earlier order had in one region with the text.
 
 Exact copies are one text throughout. A prefix so common that the whole signature is shared by more than ``REGION``
 texts is cut into blocks, and each block gets the least text of all as a member, so the blocks stay connected.
@@ -30,11 +33,12 @@ from spinneret.session import cut_lineage
 
 VALUES, TREES = 128, 16
 DEPTHS = (4, 6, 8, 12, 16, 32, 64, 128)
-REGION, NEAR, WIDE = 2_000, 4, 16
+REGION, NEAR, WIDER = 2_000, 4, 4
+FINE = 4_096
 #: Document numbers that are broadcast; of 8 bytes each.
 SMALL_IDS = 1 << 20
-#: Standard errors by which an estimate may fall short of the similarity asked for.
-SLACK = 3.5
+#: Standard errors by which an estimate may fall short of the similarity asked for; small sets spread the fine one more.
+SLACK, FINE_SLACK = 3.5, 5.0
 
 
 def sketch(docs: DataFrame, width: int) -> DataFrame:
@@ -92,17 +96,48 @@ def regions(texts: DataFrame) -> DataFrame:
     return marked.withColumn("crowded", F.coalesce("_crowded", F.lit(False))).drop("_crowded")
 
 
-def _pairs_of(rows: pd.DataFrame, sig: np.ndarray, least: float, most: int) -> tuple[list, list]:
-    """Candidate pairs of whole regions, given in order: the best fresh neighbours of each text in other components."""
+def fine_sketch(texts: DataFrame, width: int) -> DataFrame:
+    """``(rep, fine)`` of ``texts(rep, text)``: one bit, the parity, of each of ``FINE`` min-hash values."""
+    factors, masks = minhash_parameters(FINE, seed=2)
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            values = minhashes([shingle_set(t, width) for t in batch["text"]], factors, masks)
+            bits = np.packbits(np.bitwise_count(values) & 1, axis=1)
+            yield pd.DataFrame({"rep": batch["rep"], "fine": [b.tobytes() for b in bits]})
+
+    return texts.select("rep", "text").mapInPandas(rows, "rep bigint, fine binary")
+
+
+def likeness(some: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Estimated similarities, from rows of 16-bit values or from rows of 64 bits of the fine sketch at a time."""
+    if some.dtype == np.uint64:
+        return 1 - 2 / FINE * np.bitwise_count(some ^ other).sum(axis=-1)
+    return (some == other).mean(axis=-1)
+
+
+def least_likeness(share: float, fine: bool) -> float:
+    """The estimate that texts of a true similarity ``share`` hardly ever fall short of."""
+    if fine:
+        return share - FINE_SLACK * ((1 - share) * (1 + share) / FINE) ** 0.5
+    return share - SLACK * (share * (1 - share) / VALUES) ** 0.5
+
+
+def _pairs_of(rows: pd.DataFrame, sig: np.ndarray, marks: np.ndarray, least: float, most: int) -> tuple[list, list, list]:
+    """Candidate pairs of whole regions, given in order: the best fresh neighbours of each text in other components.
+
+    ``marks`` are what similarities are estimated from. The third list has the regions where a text had more than
+    ``most`` neighbours.
+    """
     region, rep, comp, crowded = (rows[c].to_numpy() for c in ("region", "rep", "comp", "crowded"))
     tree = rows["tree"].to_numpy()
     # The first prefixes of all trees; a pair that shares an earlier one has met there, unless that tree went deeper.
     prefix = np.ascontiguousarray(sig.reshape(len(sig), TREES, VALUES // TREES)[:, :, : DEPTHS[0]]).view(np.uint64)[:, :, 0]
-    left, right = [], []
+    left, right, unfinished = [], [], []
     starts = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
     ends = np.append(starts[1:], len(region))
     two = starts[ends - starts == 2]
-    alike = ((sig[two] == sig[two + 1]).mean(axis=1) >= least) & (comp[two] != comp[two + 1])
+    alike = (likeness(marks[two], marks[two + 1]) >= least) & (comp[two] != comp[two + 1])
     met = ((prefix[two] == prefix[two + 1]) & (np.arange(TREES) < tree[two][:, None])).any(axis=1)
     alike &= ~met | crowded[two] | crowded[two + 1]
     left.append(rep[two[alike]])
@@ -110,26 +145,31 @@ def _pairs_of(rows: pd.DataFrame, sig: np.ndarray, least: float, most: int) -> t
     for start, end in zip(starts, ends):
         if end - start < 3:
             continue
-        block, own, ids, full = sig[start:end], comp[start:end], rep[start:end], crowded[start:end]
+        block, own, ids, full = marks[start:end], comp[start:end], rep[start:end], crowded[start:end]
         earlier = prefix[start:end, : tree[start]]
         _, group, sizes = np.unique(own, return_inverse=True, return_counts=True)
-        weight = sizes[group]
+        weight, more = sizes[group], False
         for row in range(len(block)):
             fresh = ~(earlier == earlier[row]).any(axis=1) | full | full[row]
             asked = np.flatnonzero(fresh & (own != own[row]) & (weight >= weight[row]))
-            alike = (block[asked] == block[row]).mean(axis=1)
+            alike = likeness(block[asked], block[row])
             near, alike = asked[alike >= least], alike[alike >= least]
             if len(near) > most:
+                more = True
                 near = near[np.argsort(-alike, kind="stable")[:most]]
             left.append(np.full(len(near), ids[row]))
             right.append(ids[near])
-    return left, right
+        if more:
+            unfinished.append(region[start])
+    return left, right, unfinished
 
 
-def candidates(members: DataFrame, texts: DataFrame, percent: int, most: int) -> DataFrame:
-    """``(a, b)``, a < b, from ``members(region, tree, rep, comp, crowded)``. Regions are compared as they stream by, one at a time."""
-    share = percent / 100
-    least = share - SLACK * (share * (1 - share) / VALUES) ** 0.5
+def candidates(members: DataFrame, texts: DataFrame, percent: int, most: int, fine: bool = False) -> DataFrame:
+    """``(a, b, region)`` from ``members(region, tree, rep, comp, crowded)``: pairs a < b, and regions with more to ask.
+
+    A row is one or the other; ``texts`` has ``(rep, sig)``, and ``fine`` where that is asked for. Regions are compared as they stream by, one at a time.
+    """
+    least = least_likeness(percent / 100, fine)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
@@ -145,13 +185,15 @@ def candidates(members: DataFrame, texts: DataFrame, percent: int, most: int) ->
             if not len(now):
                 continue
             sig = np.frombuffer(b"".join(now["sig"]), np.uint16).reshape(len(now), VALUES)
-            pairs = _pairs_of(now, sig, least, most)
+            marks = np.frombuffer(b"".join(now["fine"]), np.uint64).reshape(len(now), FINE // 64) if fine else sig
+            pairs = _pairs_of(now, sig, marks, least, most)
             a, b = np.concatenate(pairs[0]), np.concatenate(pairs[1])
-            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "region": None}).drop_duplicates()
+            yield pd.DataFrame({"a": None, "b": None, "region": pairs[2]})
 
-    rows = members.join(texts, "rep").select("region", "tree", "rep", "comp", "crowded", "sig")
+    rows = members.join(texts, "rep").select("region", "tree", "rep", "comp", "crowded", "sig", *["fine"] * fine)
     rows = rows.repartition("region").sortWithinPartitions("region", "rep")
-    return rows.mapInPandas(compare, "a bigint, b bigint").distinct()
+    return rows.mapInPandas(compare, "a bigint, b bigint, region bigint").distinct()
 
 
 def _with_end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
@@ -159,13 +201,15 @@ def _with_end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
     yield None
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame, n_ids: int) -> DataFrame:
+    """``(doc_id, text)`` of ``ids(doc_id)``; of a repeated doc_id with different texts the least stands for it."""
+    ids = F.broadcast(ids.distinct()) if n_ids <= SMALL_IDS else ids.distinct()
+    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets have 100 * intersection >= percent * union."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    if pairs.count() * 2 <= SMALL_IDS:
-        ids = F.broadcast(ids)
-    # Repeated rows of a doc_id are one document; where their texts differ, the least stands for it.
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    texts = _texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), 2 * pairs.count())
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -193,6 +237,35 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return _resolved(docs, width, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def _linked(members: DataFrame, texts: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(id, component)`` of the texts with links, in rounds of ever more candidates until no region has more to ask."""
+    asked = cut_lineage(candidates(members.withColumn("comp", F.col("rep")), texts, percent, NEAR))
+    tried = asked.where("region is null").select("a", "b")
+    comps = cut_lineage(components(confirmed(tried, docs, width, percent)))
+    most, fine = NEAR, None
+    while True:
+        unfinished = asked.where("region is not null").select("region").distinct()
+        left = members.join(unfinished, "region", "left_semi").join(comps.withColumnRenamed("id", "rep"), "rep", "left")
+        left = cut_lineage(left.select("region", "tree", "rep", "crowded", F.coalesce("component", "rep").alias("comp")))
+        split = left.groupBy("region").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+        if split.isEmpty():
+            return comps
+        most *= WIDER
+        left = cut_lineage(left.join(split.select("region"), "region", "left_semi"))
+        if fine is None:
+            ids = left.select(F.col("rep").alias("doc_id")).distinct()
+            shown = _texts_of(docs, ids, left.count()).withColumnRenamed("doc_id", "rep")
+            fine = cut_lineage(fine_sketch(shown, width).join(texts, "rep"))
+        asked = cut_lineage(candidates(left, fine, percent, most, fine=True))
+        new = cut_lineage(asked.where("region is null").select("a", "b").join(tried, ["a", "b"], "left_anti"))
+        tried = tried.unionByName(new)
+        links = cut_lineage(confirmed(new, docs, width, percent))
+        if not links.isEmpty():
+            # A component is a star around its least id, so the new links are all that has to be contracted.
+            stars = comps.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
+            comps = cut_lineage(components(stars.unionByName(links)))
+
+
 def _resolved(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The result with the keys ``k1, k2`` of the word sequences."""
     sketches = cut_lineage(sketch(docs, width))
@@ -200,20 +273,7 @@ def _resolved(docs: DataFrame, width: int, percent: int) -> DataFrame:
     groups = cut_lineage(worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")).where("rep is not null"))
     texts = groups.groupBy("rep").agg(F.min("sig").alias("sig"))
     members = cut_lineage(regions(texts))
-    first = candidates(members.withColumn("comp", F.col("rep")), texts, percent, NEAR)
-    tried = cut_lineage(first)
-    links = cut_lineage(confirmed(tried, docs, width, percent))
-    comps = cut_lineage(components(links))
-
-    large = members.where(F.col("size") > NEAR + 1).join(comps.withColumnRenamed("id", "rep"), "rep", "left")
-    large = large.select("region", "tree", "rep", "crowded", F.coalesce("component", "rep").alias("comp"))
-    split = large.groupBy("region").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-    more = candidates(large.join(split.select("region"), "region", "left_semi"), texts, percent, WIDE)
-    more = cut_lineage(more.join(tried, ["a", "b"], "left_anti"))
-    extra = cut_lineage(confirmed(more, docs, width, percent))
-    if not extra.isEmpty():
-        comps = cut_lineage(components(links.unionByName(extra)))
-
+    comps = _linked(members, texts, docs, width, percent)
     named = groups.select("k1", "k2", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("k1", "k2", F.coalesce("component", "rep").alias("component_id"))
     found = sketches.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")

@@ -95,8 +95,9 @@ def minhashes(sets: Sequence[np.ndarray], factors: np.ndarray, masks: np.ndarray
             continue
         least = np.full(len(factors), 0xFFFFFFFF, np.uint32)
         low = (s >> np.uint64(32)).astype(np.uint32)
-        for at in range(0, len(low), 2048):
-            part = low[at : at + 2048, None]
+        step = max(1, _BLOCK * 4 // len(factors))
+        for at in range(0, len(low), step):
+            part = low[at : at + step, None]
             hashed = (part ^ masks) * factors
             hashed ^= hashed >> np.uint32(15)
             np.minimum(least, (hashed * np.uint32(0x85EBCA6B)).min(axis=0), out=least)

@@ -78,6 +78,32 @@ def test_components_equal_all_pairs(tables, width, percent):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got) and len(got) == len(rows)
 
 
+def test_no_candidate_of_a_region_is_left_out(tables, monkeypatch):
+    """Each text has many neighbours just below the threshold; the few true links lie behind them."""
+    monkeypatch.setattr(near_dups, "NEAR", 1)
+    monkeypatch.setattr(near_dups, "WIDER", 2)
+    rounds, asked = [], near_dups.candidates
+    monkeypatch.setattr(near_dups, "candidates", lambda *a, **k: rounds.append(a[3]) or asked(*a, **k))
+    rng = random.Random(9)
+    rows = list(enumerate(t for _ in range(3) for t in family(rng, 50, 8, 200)))
+    got = near_dups.near_duplicates(tables(rows, "doc_id bigint, text string"), 3, 85).collect()
+    want = brute(rows, 3, 85)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    assert len({c for _, c in want.values()}) > 6 and rounds[:3] == [1, 2, 4] and len(rounds) > 4
+
+
+def test_fine_estimates_are_unbiased():
+    rng, errors = random.Random(2), []
+    factors, masks = minhash_parameters(near_dups.FINE, seed=2)
+    for _ in range(60):
+        a, b = family(rng, 2, 20, 200)
+        x, y = shingle_set(a, 3), shingle_set(b, 3)
+        both = len(np.intersect1d(x, y))
+        bits = np.packbits(np.bitwise_count(minhashes([x, y], factors, masks)) & 1, axis=1).view(np.uint64)
+        errors.append(near_dups.likeness(bits[0], bits[1]) - both / (len(x) + len(y) - both))
+    assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.02
+
+
 def test_crowded_regions_go_deeper(tables, monkeypatch):
     monkeypatch.setattr(near_dups, "REGION", 12)
     rng = random.Random(4)
