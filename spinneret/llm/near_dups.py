@@ -33,7 +33,7 @@ from spinneret.session import cut_lineage
 
 VALUES, TREES = 128, 16
 DEPTHS = (4, 6, 8, 12, 16, 32, 64, 128)
-REGION, NEAR, WIDER = 2_000, 4, 4
+REGION, NEAR, WIDER = 2_000, 4, 8
 FINE = 4_096
 #: Document numbers that are broadcast; of 8 bytes each.
 SMALL_IDS = 1 << 20
