@@ -14,6 +14,12 @@ estimate from ``FINE`` further min-hash values, one bit of each, made for the te
 many texts lie just below the threshold, few of their pairs are left to confirm. In each order only
 those neighbours count that no earlier order had in one region with the text.
 
+Texts that leave a crowded prefix at a greater depth are not lost to each other. Once the deeper regions are done, every
+crowd whose texts are still in several components is compared as a whole: each text outside its largest component asks
+all others. Both sides are cut into blocks, and each block of texts that ask meets each block of the crowd in a region
+of its own, with the same rounds. So all pairs of a region of any size are asked, or are in one component without it.
+The cost is linear in a crowd of near copies, and quadratic in the texts of a crowd that no link joins.
+
 Exact copies are one text throughout. A prefix so common that the whole signature is shared by more than ``REGION``
 texts is cut into blocks, and each block gets the least text of all as a member, so the blocks stay connected.
 """
@@ -65,10 +71,11 @@ def _keyed(rows: DataFrame, depth: int) -> DataFrame:
     return rows.select("rep", "tree", F.expr(f"xxhash64(tree, {depth}, {prefix})").alias("region"))
 
 
-def regions(texts: DataFrame) -> DataFrame:
-    """``(region, tree, rep, size, crowded)`` over all trees, each region with 2 to ``REGION`` + 1 of ``texts(rep, sig)``.
+def regions(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``(region, tree, rep, size, crowded, side)`` over all trees, each region with 2 to ``REGION`` + 1 of ``texts(rep, sig)``.
 
-    ``crowded`` says that one of the text's prefixes at the first depth is shared by more than ``REGION`` texts.
+    ``crowded`` says that one of the text's prefixes at the first depth is shared by more than ``REGION`` texts; these
+    crowds come second, as ``(region, tree, rep)``, if there are any. ``side`` is 0: each text may ask each other.
     """
     rows = texts.select("rep", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     found, crowds = [], None
@@ -80,7 +87,7 @@ def regions(texts: DataFrame) -> DataFrame:
         crowded = shared.where(F.col("size") > REGION)
         if crowded.isEmpty():
             break
-        crowds = crowded.select("rep").distinct() if crowds is None else crowds
+        crowds = crowded.select("region", "tree", "rep") if crowds is None else crowds
         rows = crowded.select("rep", "tree").join(texts, "rep")
     else:
         block = F.expr(f"pmod(xxhash64(rep), cast(ceil(2 * size / {REGION}) as int))")
@@ -90,10 +97,33 @@ def regions(texts: DataFrame) -> DataFrame:
     whole = found[0]
     for more in found[1:]:
         whole = whole.unionByName(more)
+    whole = whole.withColumn("side", F.lit(0))
     if crowds is None:
-        return whole.withColumn("crowded", F.lit(False))
-    marked = whole.join(crowds.withColumn("_crowded", F.lit(True)), "rep", "left")
-    return marked.withColumn("crowded", F.coalesce("_crowded", F.lit(False))).drop("_crowded")
+        return whole.withColumn("crowded", F.lit(False)), None
+    marked = whole.join(crowds.select("rep").distinct().withColumn("_crowded", F.lit(True)), "rep", "left")
+    return marked.withColumn("crowded", F.coalesce("_crowded", F.lit(False))).drop("_crowded"), crowds
+
+
+def crossings(crowds: DataFrame) -> DataFrame:
+    """Members of new regions, in which the texts of ``crowds(region, tree, rep, comp)`` meet those of other components.
+
+    On ``side`` 1 are texts outside the crowd's largest component, on side 2 all texts of the crowd; each of the former
+    is in one region with each of the latter. A region has about ``REGION`` texts of each side.
+    """
+    sizes = crowds.groupBy("region", "comp").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("region").agg(F.max(F.struct("n", "comp")).alias("largest"), F.sum("n").alias("size")).where("size > largest.n")
+    sizes = cut_lineage(sizes.select(
+        "region", F.col("largest.comp").alias("main"),
+        F.ceil((F.col("size") - F.col("largest.n")) / REGION).cast("int").alias("rows"), F.ceil(F.col("size") / REGION).cast("int").alias("cols"),
+    ))
+    met = crowds.join(F.broadcast(sizes) if sizes.count() <= SMALL_IDS else sizes, "region")
+    row, col = F.expr("pmod(xxhash64(rep, 1), rows)").alias("row"), F.expr("pmod(xxhash64(rep, 2), cols)").alias("col")
+    asking = met.where("comp <> main").select("region", "tree", "rep", row, F.expr("explode(sequence(0, cols - 1))").alias("col"), F.lit(1).alias("side"))
+    asked = met.select("region", "tree", "rep", F.expr("explode(sequence(0, rows - 1))").alias("row"), col, F.lit(2).alias("side"))
+    # What an earlier tree has in one region, crowded or not, is asked there, so no text counts as crowded here.
+    return asking.unionByName(asked).select(
+        F.expr("xxhash64(region, int(row), int(col))").alias("region"), "tree", "rep", F.lit(False).alias("crowded"), "side"
+    )
 
 
 def fine_sketch(texts: DataFrame, width: int) -> DataFrame:
@@ -130,7 +160,7 @@ def _pairs_of(rows: pd.DataFrame, sig: np.ndarray, marks: np.ndarray, least: flo
     ``most`` neighbours.
     """
     region, rep, comp, crowded = (rows[c].to_numpy() for c in ("region", "rep", "comp", "crowded"))
-    tree = rows["tree"].to_numpy()
+    tree, side = rows["tree"].to_numpy(), rows["side"].to_numpy()
     # The first prefixes of all trees; a pair that shares an earlier one has met there, unless that tree went deeper.
     prefix = np.ascontiguousarray(sig.reshape(len(sig), TREES, VALUES // TREES)[:, :, : DEPTHS[0]]).view(np.uint64)[:, :, 0]
     left, right, unfinished = [], [], []
@@ -140,6 +170,7 @@ def _pairs_of(rows: pd.DataFrame, sig: np.ndarray, marks: np.ndarray, least: flo
     alike = (likeness(marks[two], marks[two + 1]) >= least) & (comp[two] != comp[two + 1])
     met = ((prefix[two] == prefix[two + 1]) & (np.arange(TREES) < tree[two][:, None])).any(axis=1)
     alike &= ~met | crowded[two] | crowded[two + 1]
+    alike &= (side[two] == 0) | (side[two] != side[two + 1])
     left.append(rep[two[alike]])
     right.append(rep[two[alike] + 1])
     for start, end in zip(starts, ends):
@@ -148,10 +179,11 @@ def _pairs_of(rows: pd.DataFrame, sig: np.ndarray, marks: np.ndarray, least: flo
         block, own, ids, full = marks[start:end], comp[start:end], rep[start:end], crowded[start:end]
         earlier = prefix[start:end, : tree[start]]
         _, group, sizes = np.unique(own, return_inverse=True, return_counts=True)
-        weight, more = sizes[group], False
-        for row in range(len(block)):
+        weight, more, sides = sizes[group], False, side[start:end]
+        for row in np.flatnonzero(sides < 2):
             fresh = ~(earlier == earlier[row]).any(axis=1) | full | full[row]
-            asked = np.flatnonzero(fresh & (own != own[row]) & (weight >= weight[row]))
+            open_to = sides == 2 if sides[row] else weight >= weight[row]
+            asked = np.flatnonzero(fresh & (own != own[row]) & open_to)
             alike = likeness(block[asked], block[row])
             near, alike = asked[alike >= least], alike[alike >= least]
             if len(near) > most:
@@ -165,7 +197,7 @@ def _pairs_of(rows: pd.DataFrame, sig: np.ndarray, marks: np.ndarray, least: flo
 
 
 def candidates(members: DataFrame, texts: DataFrame, percent: int, most: int, fine: bool = False) -> DataFrame:
-    """``(a, b, region)`` from ``members(region, tree, rep, comp, crowded)``: pairs a < b, and regions with more to ask.
+    """``(a, b, region)`` from ``members(region, tree, rep, comp, crowded, side)``: pairs a < b, and regions with more to ask.
 
     A row is one or the other; ``texts`` has ``(rep, sig)``, and ``fine`` where that is asked for. Regions are compared as they stream by, one at a time.
     """
@@ -191,7 +223,7 @@ def candidates(members: DataFrame, texts: DataFrame, percent: int, most: int, fi
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "region": None}).drop_duplicates()
             yield pd.DataFrame({"a": None, "b": None, "region": pairs[2]})
 
-    rows = members.join(texts, "rep").select("region", "tree", "rep", "comp", "crowded", "sig", *["fine"] * fine)
+    rows = members.join(texts, "rep").select("region", "tree", "rep", "comp", "crowded", "side", "sig", *["fine"] * fine)
     rows = rows.repartition("region").sortWithinPartitions("region", "rep")
     return rows.mapInPandas(compare, "a bigint, b bigint, region bigint").distinct()
 
@@ -237,33 +269,52 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return _resolved(docs, width, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def _linked(members: DataFrame, texts: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``(id, component)`` of the texts with links, in rounds of ever more candidates until no region has more to ask."""
-    asked = cut_lineage(candidates(members.withColumn("comp", F.col("rep")), texts, percent, NEAR))
-    tried = asked.where("region is null").select("a", "b")
-    comps = cut_lineage(components(confirmed(tried, docs, width, percent)))
-    most, fine = NEAR, None
+def _linked(members: DataFrame, crowds: DataFrame | None, texts: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(id, component)`` of the texts with links: first inside regions, then across the crowds that are still split."""
+    comps, tried = _rounds(members, None, None, texts, docs, width, percent)
+    if crowds is None:
+        return comps
+    across = cut_lineage(crossings(cut_lineage(_placed(crowds, comps))))
+    return comps if across.isEmpty() else _rounds(across, comps, tried, texts, docs, width, percent)[0]
+
+
+def _placed(members: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """The members with the component ``comp`` that each is in so far."""
+    if comps is None:
+        return members.withColumn("comp", F.col("rep"))
+    named = members.join(comps.withColumnRenamed("id", "rep"), "rep", "left")
+    return named.select(*members.columns, F.coalesce("component", "rep").alias("comp"))
+
+
+def _rounds(
+    members: DataFrame, comps: DataFrame | None, tried: DataFrame | None, texts: DataFrame, docs: DataFrame, width: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """The components and the pairs tried, after rounds of ever more candidates until no region has more to ask."""
+    left, most, fine = _placed(members, comps), NEAR, None
     while True:
+        asked = cut_lineage(candidates(left, texts, percent, most) if fine is None else candidates(left, fine, percent, most, fine=True))
+        new = asked.where("region is null").select("a", "b")
+        if tried is not None:
+            new = cut_lineage(new.join(tried, ["a", "b"], "left_anti"))
+        tried = new if tried is None else tried.unionByName(new)
+        links = confirmed(new, docs, width, percent)
+        if comps is None:
+            comps = cut_lineage(components(links))
+        elif not (links := cut_lineage(links)).isEmpty():
+            # A component is a star around its least id, so the new links are all that has to be contracted.
+            stars = comps.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
+            comps = cut_lineage(components(stars.unionByName(links)))
         unfinished = asked.where("region is not null").select("region").distinct()
-        left = members.join(unfinished, "region", "left_semi").join(comps.withColumnRenamed("id", "rep"), "rep", "left")
-        left = cut_lineage(left.select("region", "tree", "rep", "crowded", F.coalesce("component", "rep").alias("comp")))
+        left = cut_lineage(_placed(members.join(unfinished, "region", "left_semi"), comps))
         split = left.groupBy("region").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
         if split.isEmpty():
-            return comps
+            return comps, tried
         most *= WIDER
         left = cut_lineage(left.join(split.select("region"), "region", "left_semi"))
         if fine is None:
             ids = left.select(F.col("rep").alias("doc_id")).distinct()
             shown = _texts_of(docs, ids, left.count()).withColumnRenamed("doc_id", "rep")
             fine = cut_lineage(fine_sketch(shown, width).join(texts, "rep"))
-        asked = cut_lineage(candidates(left, fine, percent, most, fine=True))
-        new = cut_lineage(asked.where("region is null").select("a", "b").join(tried, ["a", "b"], "left_anti"))
-        tried = tried.unionByName(new)
-        links = cut_lineage(confirmed(new, docs, width, percent))
-        if not links.isEmpty():
-            # A component is a star around its least id, so the new links are all that has to be contracted.
-            stars = comps.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
-            comps = cut_lineage(components(stars.unionByName(links)))
 
 
 def _resolved(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -272,8 +323,8 @@ def _resolved(docs: DataFrame, width: int, percent: int) -> DataFrame:
     worded = sketches.where("n_shingles > 0")
     groups = cut_lineage(worded.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")).where("rep is not null"))
     texts = groups.groupBy("rep").agg(F.min("sig").alias("sig"))
-    members = cut_lineage(regions(texts))
-    comps = _linked(members, texts, docs, width, percent)
+    members, crowds = regions(texts)
+    comps = _linked(cut_lineage(members), crowds, texts, docs, width, percent)
     named = groups.select("k1", "k2", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("k1", "k2", F.coalesce("component", "rep").alias("component_id"))
     found = sketches.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")

@@ -113,6 +113,27 @@ def test_crowded_regions_go_deeper(tables, monkeypatch):
     assert sum(r["component_id"] == want[r["doc_id"]][1] for r in got) >= 0.95 * len(rows)
 
 
+def test_texts_that_leave_a_crowd_are_linked(tables, monkeypatch):
+    """Distinct copies of one text, each with one edit of its own, and borderline ones beside them."""
+    monkeypatch.setattr(near_dups, "REGION", 12)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base[:at] + [f"e{rng.randrange(10**9)}"] + base[at + 1 :]) for at in range(60) for _ in range(4)]
+    texts += [" ".join(f"x{n}" if at in (9, 40) else w for at, w in enumerate(base)) for n in range(30)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    got = near_dups.near_duplicates(tables(rows, "doc_id bigint, text string"), 3, 85).collect()
+    want = brute(rows, 3, 85)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
+def test_thousands_of_distinct_one_edit_copies_are_one_component(tables):
+    base = [f"w{i}" for i in range(100)]
+    rows = [(n, " ".join(base[: n % 100] + [f"e{n}"] + base[n % 100 + 1 :])) for n in range(3_000)]
+    got = near_dups.near_duplicates(tables(rows, "doc_id bigint, text string"), 3, 85).collect()
+    assert len(got) == 3_000 and {r["component_id"] for r in got} == {0}
+
+
 def test_near_dups_edges(edge_docs, no_docs):
     got = near_dups.near_duplicates(edge_docs, 3, 85).collect()
     assert len(got) == 15 and near_dups.near_duplicates(no_docs).count() == 0
