@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spinneret.llm import decontamination, fingerprints, html_text, line_dedup, mixing, near_dups, privacy, secret_scan, sharding, toxicity
+from spinneret.llm import (
+    decontamination, fill_middle, fingerprints, html_text, importance, line_dedup, mixing, near_dups, privacy, secret_scan,
+    sharding, simhash, toxicity,
+)
 from spinneret.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,14 +55,29 @@ def op10_fingerprints(spark, sf_dir):
     return fingerprints.edit_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark, sf_dir):
+    return fill_middle.fill_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=3)
+
+
+def op13_importance(spark, sf_dir):
+    return importance.importance_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def all_queries() -> dict[str, Query]:
     listed = [
         op1_sharding, op2_line_dedup, op3_mixing, op4_secret_scan, op5_toxicity, op6_html_text, op7_privacy,
-        op8_decontamination, op9_near_dups, op10_fingerprints,
+        op8_decontamination, op9_near_dups, op10_fingerprints, op11_fill_middle, op12_simhash, op13_importance,
     ]
     return {query.__name__: query for query in listed}
 
 
 def all_statements() -> dict[str, str]:
     """SQL for the operators that SQL can express."""
-    return {"op2_line_dedup": line_dedup.LINES_SQL, "op3_mixing": mixing.MIX_SQL, "op9_near_dups": near_dups.NEAR_DUPS_SQL}
+    return {
+        "op2_line_dedup": line_dedup.LINES_SQL, "op3_mixing": mixing.MIX_SQL, "op9_near_dups": near_dups.NEAR_DUPS_SQL,
+        "op11_fill_middle": fill_middle.FILL_SQL,
+    }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spinneret.session import cut_lineage
@@ -68,3 +68,13 @@ def components(links: DataFrame) -> DataFrame:
 
 def _least_first(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def id_digest(seed: int) -> Column:
+    """The hex sha256 of ``seed:doc_id``, from which draws for a document are read; a null doc_id is the empty string."""
+    return F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256)
+
+
+def digest_group(digest: Column, n: int) -> Column:
+    """The ``n``-th group (0-based) of eight hex digits as an unsigned integer."""
+    return F.conv(F.substring(digest, 8 * n + 1, 8), 16, 10).cast("bigint")
