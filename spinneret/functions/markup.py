@@ -171,15 +171,49 @@ def with_attribute(tags: DataFrame, tag: str, element: str, name: str, out: str)
     return bare.selectExpr(*kept, f"{fence(decoded)} AS `{out}`")
 
 
+# The names that stand without ';' too, and what they mean; '&amp;' comes last, since it makes new '&'s.
+_COMMON = {"quot": '"', "lt": "<", "gt": ">", "amp": "&"}
+
+
 def _decoded(text: str) -> str:
-    """The text with its entities decoded; numbers that are no character become U+FFFD."""
-    names = {f"&{n}": c for n, c in html5.items() if n.endswith(";")} | {f"&{n}": html5[n] for n in ("quot", "amp", "lt", "gt")}
-    # One string holds the whole table, with marks around each name; a map literal of this size makes no compilable code.
-    table = quoted("\x01" + "".join(f"{n}\x02{c}\x01" for n, c in names.items()))
-    number = "cast(conv(rtrim(';', substring(p, if(lower(substring(p, 3, 1)) = 'x', 4, 3))), if(lower(substring(p, 3, 1)) = 'x', 16, 10), 10) AS bigint)"
+    """The text with its entities decoded; numbers that are no character become U+FFFD.
+
+    Nearly all texts with entities have ``&amp;`` alone, which is replaced as it stands. The others are cut into pieces,
+    and only names that are not of the oldest go through the table of their first letter.
+    """
+    plain = f"length({text}) - length(replace({text}, '&', '')) = (length({text}) - length(replace({text}, '&amp;', ''))) div 5"
+    pieces = f"array_join(transform(regexp_extract_all({text}, {quoted(ENTITY_PIECE)}, 0), p -> {_decoded_piece()}), '')"
+    return f"CASE WHEN {plain} THEN replace({text}, '&amp;', '&') ELSE {pieces} END"
+
+
+def _decoded_piece() -> str:
+    """One piece ``p`` of a text, decoded."""
+    is_hex = "lower(substring(p, 3, 1)) = 'x'"
+    digits = f"ltrim('0', rtrim(';', substring(p, if({is_hex}, 4, 3))))"
+    # Longer numbers are beyond the last character; cut off, they do not overflow on the way.
+    number = f"if(length({digits}) > 7, 0, coalesce(cast(conv(substring({digits}, 1, 7), if({is_hex}, 16, 10), 10) AS bigint), 0))"
     valid = "(c BETWEEN 1 AND 55295 OR c BETWEEN 57344 AND 1114111)"
     char = f"element_at(transform(array({number}), c -> if({valid}, decode(unhex(lpad(hex(c), 8, '0')), 'UTF-32'), '\\uFFFD')), 1)"
-    marked = "concat('\x01', if(endswith(p, ';'), p, lower(p)), '\x02')"
-    name = f"if(contains({table}, {marked}), substring_index(substring_index({table}, {marked}, -1), '\x01', 1), p)"
-    piece = f"CASE WHEN startswith(p, '&#') AND length(p) > 2 THEN {char} WHEN startswith(p, '&') AND length(p) > 1 THEN {name} ELSE p END"
-    return f"array_join(transform(regexp_extract_all({text}, {quoted(ENTITY_PIECE)}, 0), p -> {piece}), '')"
+    oldest = " ".join(f"WHEN rtrim(';', lower(p)) = '&{name}' AND (endswith(p, ';') IS FALSE OR p = '&{name};') THEN {quoted(char)}" for name, char in _COMMON.items())
+    return (
+        f"CASE WHEN startswith(p, '&#') AND length(p) > 2 THEN {char} WHEN NOT startswith(p, '&') OR length(p) = 1 THEN p"
+        f" {oldest} ELSE {_named_piece()} END"
+    )
+
+
+def _named_piece() -> str:
+    """A name of the table, or the piece itself. A string for each first letter holds its names with marks around each.
+
+    A map literal of this size makes no compilable code, and one string for all letters takes long to search.
+    """
+    ended = sorted((n, c) for n, c in html5.items() if n.endswith(";"))
+    by_letter = {k: "".join(f"\x01&{n}\x02{c}" for n, c in g) + "\x01" for k, g in groupby(ended, key=lambda x: x[0][0])}
+    marked = "concat('\x01', p, '\x02')"
+
+    def found(table: str) -> str:
+        return f"if(contains({table}, {marked}), substring_index(substring_index({table}, {marked}, -1), '\x01', 1), p)"
+
+    letters = quoted("".join(by_letter))
+    tables = f"element_at(array({', '.join(quoted(t) for t in by_letter.values())}), instr({letters}, substring(p, 2, 1)))"
+    is_letter = f"contains({letters}, substring(p, 2, 1))"
+    return f"if({is_letter}, element_at(transform(array({tables}), t -> {found('t')}), 1), p)"

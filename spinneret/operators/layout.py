@@ -1,4 +1,4 @@
-"""Segment layouts as columns: sizes, gaps, offsets, slots and prefixes of the exported postings and dictionaries."""
+"""Segment layouts as columns: sizes, gaps, offsets and slots of the exported postings and dictionaries."""
 
 from __future__ import annotations
 
@@ -13,8 +13,6 @@ from spinneret.operators.postings import BLOCK, doc_frequency
 INT_BYTES = 4
 TOKEN_BYTES = 64
 OFFSET_BYTES = 8
-ROOT = "-"
-NO_OFFSET = -1
 # --------------------------------------------------------------------------------------------------------------------
 
 
@@ -78,34 +76,3 @@ def too_long_tokens(token_dict: DataFrame, width: int = TOKEN_BYTES) -> DataFram
     """``(token, token_bytes)`` of the tokens that :func:`fixed_dictionary` leaves out."""
     size = F.octet_length("token")
     return token_dict.where(size > width).select("token", size.cast("bigint").alias("token_bytes"))
-
-
-def trie(token_dict: DataFrame) -> DataFrame:
-    """``(prefix, depth, val, is_terminal, offset, n_children)``: one row per distinct prefix, the root included.
-
-    The root and the one-letter prefixes take a row from nearly every token; these are combined map-side, and the set of
-    next letters is no larger than the alphabet. Without tokens the root is terminal.
-    """
-    tokens = token_dict.where(F.col("token") != "").select("token", F.col("offset").cast("bigint").alias("offset"))
-    ends = F.explode(F.sequence(F.lit(0), F.length("token"))).alias("depth")
-    steps = tokens.select("token", "offset", ends).select(
-        F.substring("token", F.lit(1), F.col("depth")).alias("prefix"),
-        "depth",
-        F.when(F.col("depth") == F.length("token"), F.col("offset")).alias("offset"),
-        F.when(F.col("depth") < F.length("token"), F.substring("token", F.col("depth") + 1, F.lit(1))).alias("next"),
-    )
-    nodes = steps.groupBy("prefix", "depth").agg(
-        F.max("offset").alias("offset"), F.size(F.collect_set("next")).cast("bigint").alias("n_children")
-    )
-    rows = nodes.select(
-        "prefix",
-        "depth",
-        F.when(F.col("depth") == 0, F.lit(ROOT)).otherwise(F.substring("prefix", -1, 1)).alias("val"),
-        F.col("offset").isNotNull().alias("is_terminal"),
-        F.coalesce("offset", F.lit(NO_OFFSET).cast("bigint")).alias("offset"),
-        "n_children",
-    )
-    spark = token_dict.sparkSession
-    bare_root = spark.createDataFrame([("", 0, ROOT, True, NO_OFFSET, 0)], rows.schema)
-    has_tokens = tokens.limit(1).select(F.lit("").alias("prefix"))
-    return rows.unionByName(bare_root.join(has_tokens, "prefix", "left_anti"))

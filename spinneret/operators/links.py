@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spinneret.functions.markup import first_base_tag, link_tags, with_attribute, without_code
@@ -22,8 +22,17 @@ def resolved_links(pages: DataFrame) -> DataFrame:
 
     A ``<base href>`` takes the place of the page's URL. URLs are not normalised otherwise, fragments stay.
     """
+    return _resolved(pages, link_tags("html"))
+
+
+def distinct_targets(pages: DataFrame) -> DataFrame:
+    """``(page_id, dst_url)`` of :func:`resolved_links`, where equal tags of a page are taken once, before they leave it."""
+    return _resolved(pages, F.array_distinct(link_tags("html"))).select("page_id", "dst_url")
+
+
+def _resolved(pages: DataFrame, tags: Column) -> DataFrame:
     pages = pages.select("page_id", "url", without_code("html").alias("html"))
-    tags = pages.select("page_id", "url", first_base_tag("html").alias("base_tag"), link_tags("html").alias("tags"))
+    tags = pages.select("page_id", "url", first_base_tag("html").alias("base_tag"), tags.alias("tags"))
     based = with_attribute(tags, "base_tag", "base", "href", out="base_href").drop("base_tag")
     based = with_absolute_url(based, "url", "base_href", out="base_url").drop("base_href")
     base = F.when(F.col("base_url") == "", F.col("url")).otherwise(F.col("base_url"))

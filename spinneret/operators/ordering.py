@@ -8,8 +8,14 @@ broadcast back, and their number is the number of shuffle partitions.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from spinneret.session import cut_lineage
 
@@ -60,21 +66,58 @@ def dense_rank(df: DataFrame, *keys: str, out: str) -> DataFrame:
     return _drop_helpers(rank_rows(in_ranges(df, *keys), out))
 
 
-def running_sum(ranged: DataFrame, value: str, out: str) -> DataFrame:
+def _scanned(placed: DataFrame, value: str, out: str, scan) -> DataFrame:
+    """Add ``out``: ``scan(values, before)`` over each range, where the rows lie; ``before`` starts with ``_before``.
+
+    A partition is a range in order (see :func:`in_ranges`), so a total is carried from one Arrow batch to the next, and no
+    row moves: a window over the ranges would shuffle and sort them once more.
+    """
+
+    kept = [c for c in placed.columns if c != "_before"]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried = None
+        for batch in batches:
+            if batch.num_rows:
+                carried = batch.column("_before")[0].as_py() if carried is None else carried
+                totals, carried = scan(batch.column(value), carried)
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), totals], [*kept, out])
+
+    fields = [placed.schema[c] for c in kept]
+    return placed.mapInArrow(add, StructType([*fields, StructField(out, LongType())]))
+
+
+def _sums(values: pa.Array, before: int | None) -> tuple[pa.Array, int]:
+    values = pc.fill_null(values.cast(pa.int64()), 0)
+    upto = pc.add(pc.cumulative_sum(values), before or 0)
+    return pc.subtract(upto, values), upto[-1].as_py()
+
+
+def _maxima(values: pa.Array, before: int | None) -> tuple[pa.Array, int | None]:
+    least = np.iinfo(np.int64).min
+    known = pc.fill_null(values.cast(pa.int64()), least).to_numpy(zero_copy_only=False)
+    upto = np.maximum(np.maximum.accumulate(known), least if before is None else before)
+    return pa.array(upto, pa.int64(), mask=upto == least), None if upto[-1] == least else int(upto[-1])
+
+
+def scan_sum(ranged: DataFrame, value: str, out: str) -> DataFrame:
     """Sum of ``value`` over all rows strictly before this one."""
+    return _scanned(_with_before(ranged, F.sum(value), F.sum), value, out, _sums)
+
+
+def scan_max(ranged: DataFrame, value: str, out: str) -> DataFrame:
+    """Greatest non-null ``value`` up to and including this row: an as-of join when ``value`` rises with the keys."""
+    return _scanned(_with_before(ranged, F.max(value), F.max), value, out, _maxima)
+
+
+def running_sum(ranged: DataFrame, value: str, out: str) -> DataFrame:
+    """The same as :func:`scan_sum` with SQL functions only, for a shuffle and a sort more."""
     placed = _with_before(ranged, F.sum(value), F.sum)
     inside = Window.partitionBy(RANGE).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, -1)
     total = F.coalesce(F.sum(value).over(inside), F.lit(0)) + F.coalesce("_before", F.lit(0))
     return placed.withColumn(out, total.cast("bigint")).drop("_before")
 
 
-def running_max(ranged: DataFrame, value: str, out: str) -> DataFrame:
-    """Greatest non-null ``value`` up to and including this row: an as-of join when ``value`` rises with the keys."""
-    placed = _with_before(ranged, F.max(value), F.max)
-    inside = Window.partitionBy(RANGE).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, 0)
-    return placed.withColumn(out, F.greatest(F.max(value).over(inside), F.col("_before"))).drop("_before")
-
-
 def offsets(df: DataFrame, *keys: str, size: str, out: str) -> DataFrame:
     """Start offset of each row when rows of ``size`` bytes are laid out in key order."""
-    return _drop_helpers(running_sum(in_ranges(df, *keys), size, out))
+    return scan_sum(in_ranges(df, *keys), size, out).drop(RANGE, POSITION)

@@ -20,7 +20,12 @@ def inverted_index(pages: DataFrame, doc_table: DataFrame) -> DataFrame:
 
     Pages are parsed where they are read; the join on the unique ``page_id`` then moves token arrays, not HTML.
     """
-    words = token_arrays(pages).join(doc_table.select("page_id", "doc_id"), "page_id").select("doc_id", "tokens")
+    return index_tokens(token_arrays(pages), doc_table)
+
+
+def index_tokens(token_lists: DataFrame, doc_table: DataFrame) -> DataFrame:
+    """``(token, doc_id)`` of pages that are ``(page_id, tokens)`` already."""
+    words = token_lists.join(doc_table.select("page_id", "doc_id"), "page_id").select("doc_id", "tokens")
     return distinct_stems(words, "doc_id").select("token", "doc_id")
 
 

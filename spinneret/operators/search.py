@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 
 from spinneret.functions.markup import tokens_of
 from spinneret.functions.stemming import with_stem
-from spinneret.operators.ordering import POSITION, RANGE, dense_rank, in_ranges, running_max
-from spinneret.operators.segments import one_of
+from spinneret.operators.blocks import BROADCAST_TERMS, find_blocks, rows_of
+from spinneret.operators.ordering import POSITION, RANGE, dense_rank, in_ranges, scan_max
 from spinneret.session import cut_lineage, has_at_most
 
-# Most terms that are broadcast against the dictionary or the postings.
-BROADCAST_TERMS = 100_000
-
 
 def query_terms(texts: DataFrame, column: str = "text") -> DataFrame:
     """``(term)``: distinct stems of the words in query texts, prepared as page text is."""
@@ -26,25 +23,29 @@ def _sized(terms: DataFrame) -> DataFrame:
     return F.broadcast(terms) if has_at_most(terms, BROADCAST_TERMS) else terms
 
 
-def look_up(terms: DataFrame, token_dict: DataFrame) -> DataFrame:
-    """Dictionary entries of ``(term)``."""
-    return token_dict.join(_sized(terms.select(F.col("term").alias("token"))), "token")
+def _in_blocks(terms: DataFrame, table: DataFrame, edges: DataFrame) -> DataFrame:
+    """The rows of a table in blocks whose token is one of ``(term)``; reads the blocks that may hold them only."""
+    one = F.lit(0).cast("bigint").alias("segment")
+    found = find_blocks(terms.select(one, "term"), edges.select(one, "block", "first", "last"))
+    return rows_of(table, found.select("block", "token"), "block").drop("block")
+
+
+def look_up(terms: DataFrame, token_dict: DataFrame, edges: DataFrame) -> DataFrame:
+    """Dictionary entries of ``(term)``, from the dictionary in blocks and the blocks' ``(block, first, last)``."""
+    return _in_blocks(terms, token_dict, edges)
 
 
-def search(terms: DataFrame, postings: DataFrame, doc_table: DataFrame) -> DataFrame:
-    """``(term, url)``: the documents of each term."""
-    hits = postings.join(_sized(terms.select(F.col("term").alias("token"))), "token")
+def search(terms: DataFrame, postings: DataFrame, edges: DataFrame, doc_table: DataFrame) -> DataFrame:
+    """``(term, url)``: the documents of each term, from the postings in blocks and the blocks' edges."""
+    hits = _in_blocks(terms, postings, edges)
     found = hits.join(doc_table.select("doc_id", "url"), "doc_id")
     return found.select(F.col("token").alias("term"), "url")
 
 
-def search_words(words: list[str], postings: DataFrame, doc_table: DataFrame) -> DataFrame:
-    """Search for a short list of words; the stems become a literal filter, which the Parquet scan can skip by."""
-    spark = postings.sparkSession
-    terms = query_terms(spark.createDataFrame([(w,) for w in words], "text string"))
-    stems = [row.term for row in terms.collect()]
-    hits = postings.where(one_of(stems))
-    return hits.join(doc_table.select("doc_id", "url"), "doc_id").select(F.col("token").alias("term"), "url")
+def search_words(words: list[str], postings: DataFrame, edges: DataFrame, doc_table: DataFrame) -> DataFrame:
+    """Search for a short list of words."""
+    texts = postings.sparkSession.createDataFrame([(w,) for w in words], "text string")
+    return search(query_terms(texts), postings, edges, doc_table)
 
 
 def with_prefix(token_dict: DataFrame, prefix: str) -> DataFrame:
@@ -80,12 +81,12 @@ def sampled_index(token_dict: DataFrame, every: int) -> DataFrame:
     )
 
 
-def find_blocks(terms: DataFrame, samples: DataFrame) -> DataFrame:
+def find_samples(terms: DataFrame, samples: DataFrame) -> DataFrame:
     """``(term, block)``: the block that would hold each term, NULL before the first one.
 
     Block numbers rise with the tokens, so this is a running maximum over terms and samples in one order.
     """
     starts = samples.select(F.col("token").alias("key"), F.lit(0).alias("is_term"), "block")
     asked = terms.select(F.col("term").alias("key"), F.lit(1).alias("is_term"), F.lit(None).cast("bigint").alias("block"))
-    placed = running_max(in_ranges(starts.unionByName(asked), "key", "is_term"), "block", out="found")
+    placed = scan_max(in_ranges(starts.unionByName(asked), "key", "is_term"), "block", out="found")
     return placed.where("is_term = 1").select(F.col("key").alias("term"), F.col("found").alias("block")).drop(RANGE, POSITION)

@@ -18,14 +18,14 @@ def page_text(pages: DataFrame) -> DataFrame:
     return with_raw_text(pages.select("page_id", "html")).select("page_id", clean_text("text").alias("text"))
 
 
-def token_arrays(pages: DataFrame) -> DataFrame:
-    """``(page_id, tokens)`` with the distinct tokens of each page."""
-    return text_token_arrays(with_raw_text(pages.select("page_id", "html")), "page_id")
+def token_arrays(pages: DataFrame, *more: str) -> DataFrame:
+    """``(page_id, tokens)`` with the distinct tokens of each page, and ``more`` columns of the pages."""
+    return text_token_arrays(with_raw_text(pages.select("page_id", *more, "html")), "page_id", *more)
 
 
-def text_token_arrays(texts: DataFrame, key: str) -> DataFrame:
-    """``(key, tokens)`` with the distinct tokens of each plain text."""
-    return texts.select(key, F.array_distinct(tokens_of("text")).alias("tokens"))
+def text_token_arrays(texts: DataFrame, *keys: str) -> DataFrame:
+    """``(keys, tokens)`` with the distinct tokens of each plain text."""
+    return texts.select(*keys, F.array_distinct(tokens_of("text")).alias("tokens"))
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:

@@ -7,105 +7,73 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spinneret.operators.documents import first_fetches
-from spinneret.operators.links import resolved_links
-from spinneret.session import cut_lineage, drop_buckets, in_buckets
+from spinneret.operators.documents import build_doc_table
+from spinneret.operators.links import distinct_targets
+from spinneret.operators.ordering import dense_rank
+from spinneret.operators.rounds import SMALL_TABLE, walk
+from spinneret.session import cut_lineage
 
 # --- Fixed value: attempts after the first failure ------------------------------------------------------------------
 RETRIES = 3
 # --------------------------------------------------------------------------------------------------------------------
-# Hops after which the visited URLs are laid out in buckets again.
-_SETTLE_EVERY = 8
-# Rows of one URL column that may be broadcast.
-SMALL_TABLE = 100_000
-
 
 def dequeue_unvisited(queue: DataFrame, visited: DataFrame) -> DataFrame:
     """``(url)``: each queued URL once, without those visited before."""
     return queue.select("url").distinct().join(visited.select("url"), "url", "left_anti")
 
 
-class _Edges:
-    """Links laid out once for all hops: looking up a frontier does not move them again.
-
-    Sources with an ordinary number of links lie in hash buckets. A source with more than its share of one bucket would
-    make that bucket's task too long; there are at most as many of those as buckets. Their links stay in evenly filled
-    partitions, and the few that are in the frontier are broadcast to them.
-    """
-
-    def __init__(self, links: DataFrame):
-        spark = links.sparkSession
-        edges = cut_lineage(links.select("src_url", "dst_url").where("src_url <> dst_url").distinct())
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        degrees = edges.groupBy("src_url").agg(F.count(F.lit(1)).alias("n"))
-        large = cut_lineage(degrees.where(F.col("n") > max(edges.count() / buckets, SMALL_TABLE)).select("src_url"))
-        self.has_large = not large.isEmpty()
-        self.large_sources = large
-        if self.has_large:
-            self.large_edges = cut_lineage(edges.join(F.broadcast(large), "src_url", "left_semi"))
-            edges = edges.join(F.broadcast(large), "src_url", "left_anti")
-        self.name, self.bucketed = in_buckets(edges, "src_url")
-
-    def targets(self, frontier: DataFrame, size: int) -> DataFrame:
-        """``(url)``: distinct targets of the frontier's links, combined map-side before the shuffle."""
-        sources = frontier.select(F.col("url").alias("src_url"))
-        near = F.broadcast(sources) if size <= SMALL_TABLE else sources
-        found = self.bucketed.join(near, "src_url", "left_semi")
-        if self.has_large:
-            few = sources.join(F.broadcast(self.large_sources), "src_url", "left_semi")
-            found = found.unionByName(self.large_edges.join(F.broadcast(few), "src_url", "left_semi"))
-        return found.select(F.col("dst_url").alias("url")).distinct()
-
-
 def reachable(links: DataFrame, seeds: DataFrame, max_hops: int | None = None) -> DataFrame:
     """``(url, hop)`` for all URLs that can be reached over ``(src_url, dst_url)``, with the least number of hops.
 
-    One round per hop: targets of the frontier, minus visited. Each frontier is checkpointed, so that no plan grows with
-    the number of hops. Visited URLs are broadcast while they are few, by count; every few hops, larger ones are laid out
-    in buckets, which the next rounds read in place. The rounds end on an empty frontier, on cyclic graphs too.
+    URLs are numbered once; the rounds then know ids only.
     """
-    spark = links.sparkSession
-    edges = _Edges(links)
-    frontier = cut_lineage(seeds.select("url").distinct().select("url", F.lit(0).alias("hop")))
-    names = [edges.name]
-    try:
-        return _walk(edges, frontier, max_hops, names)
-    finally:
-        for name in names:
-            drop_buckets(spark, name)
-
-
-def _walk(edges: _Edges, frontier: DataFrame, max_hops: int | None, names: list[str]) -> DataFrame:
-    """The rounds of :func:`reachable`; what is laid out on the way is added to ``names``."""
-    done, recent, recent_size, settled = [frontier], [], 0, None
-    while (size := frontier.count()) > 0 and (max_hops is None or len(done) <= max_hops):
-        recent.append(frontier.select("url"))
-        recent_size += size
-        if recent_size > SMALL_TABLE and len(recent) > _SETTLE_EVERY:
-            name, settled = in_buckets(reduce(DataFrame.unionByName, done).select("url"), "url")
-            names.append(name)
-            recent, recent_size = [], 0
-        elif len(recent) > _SETTLE_EVERY:
-            recent = [cut_lineage(reduce(DataFrame.unionByName, recent).coalesce(1))]
-        fresh = edges.targets(frontier, size)
-        if settled is not None:
-            fresh = fresh.join(settled, "url", "left_anti")
-        if recent:
-            visited = reduce(DataFrame.unionByName, recent)
-            fresh = fresh.join(F.broadcast(visited) if recent_size <= SMALL_TABLE else visited, "url", "left_anti")
-        frontier = cut_lineage(fresh.select("url", F.lit(len(done)).alias("hop")))
-        done.append(frontier)
-    return reduce(DataFrame.unionByName, done)
-
-
-def crawl(pages: DataFrame, seeds: DataFrame, max_hops: int | None = None) -> DataFrame:
-    """``(url, hop, state)`` of all URLs that a crawl of the snapshot visits: ``fetched`` or ``given_up``.
-
-    A URL is fetched once, so of several snapshots of it only the first one's links count.
+    sides = links.select(F.col("src_url").alias("url")).unionByName(links.select(F.col("dst_url").alias("url")))
+    urls = sides.unionByName(seeds.select("url")).where("url IS NOT NULL").distinct()
+    ids = cut_lineage(dense_rank(urls, "url", out="id"))
+    sources = ids.select(F.col("url").alias("src_url"), F.col("id").alias("src"))
+    targets = ids.select(F.col("url").alias("dst_url"), F.col("id").alias("dst"))
+    edges = links.where("src_url <> dst_url").join(targets, "dst_url").join(sources, "src_url").select("src", "dst")
+    seen = walk(cut_lineage(edges), seeds.join(ids, "url").select("id"), max_rounds=max_hops)
+    return seen.join(ids, "id").select("url", "hop")
+
+
+def crawl(
+    pages: DataFrame, seeds: DataFrame, max_hops: int | None = None, log: DataFrame | None = None, retries: int = RETRIES
+) -> DataFrame:
+    """``(url, hop, attempts, state)`` of all URLs that a crawl of the snapshot visits: ``fetched`` or ``given_up``.
+
+    A URL is fetched once, so of several snapshots of it only the first one's links count. A failed fetch goes behind the
+    queue and comes back up to ``retries`` times: the n-th attempt at a URL takes the outcome of its n-th row in the fetch
+    ``log(url, ts, seq, ok)``, and succeeds if there is none. URLs outside the snapshot fail every time; no links hang on
+    them, so they are joined in at the end. ``hop`` is the round that first queues a URL. With ``max_hops`` the rounds
+    end early; a URL of the snapshot that waits for another attempt then is ``pending``.
+
+    A page's links are made distinct before they leave it, and their targets are replaced by ids in one join; from there
+    on no URL is moved until the result.
     """
-    fetched = resolved_links(pages).join(first_fetches(pages).select("page_id"), "page_id", "left_semi")
-    visited = reachable(fetched, seeds, max_hops)
-    return outcome(visited, pages)
+    docs = cut_lineage(build_doc_table(pages))
+    near = F.broadcast(docs) if docs.count() <= SMALL_TABLE else docs
+    targets = near.select(F.col("url").alias("dst_url"), F.col("doc_id").alias("dst"))
+    sources = near.select("page_id", F.col("doc_id").alias("src"))
+    named = distinct_targets(pages).join(targets, "dst_url", "left")
+    placed = cut_lineage(named.select("page_id", "dst", F.when(F.col("dst").isNull(), F.col("dst_url")).alias("url")).join(sources, "page_id"))
+    failures = None
+    if log is not None:
+        failed = retry_ledger(log, retries).where("failures > 0").select("url", F.col("failures").alias("n"))
+        failures = failed.join(near.select("url", F.col("doc_id").alias("id")), "url").select("id", "n")
+    asked = cut_lineage(seeds.select("url").distinct().join(near.select("url", F.col("doc_id").alias("id")), "url", "left"))
+    known = asked.where("id IS NOT NULL").select("id")
+    edges = placed.where("dst IS NOT NULL AND dst <> src").select("src", "dst")
+    seen = walk(edges, known, failures, retries, max_hops)
+    found = seen.join(near.select("url", F.col("doc_id").alias("id")), "id").select("url", "hop", "attempts", "state")
+    # A target outside the snapshot is queued in the round after the first page that links to it is fetched.
+    fetched = seen.where("state = 'fetched'").select(F.col("id").alias("src"), (F.col("hop") + F.col("attempts")).alias("hop"))
+    outside = placed.where("dst IS NULL").select("src", "url").join(fetched, "src").select("url", "hop")
+    if max_hops is not None:
+        outside = outside.where(F.col("hop") <= max_hops)
+    outside = outside.unionByName(asked.where("id IS NULL").select("url", F.lit(0).alias("hop")))
+    missing = outside.groupBy("url").agg(F.min("hop").alias("hop"))
+    return found.unionByName(missing.select("url", "hop", F.lit(retries + 1).alias("attempts"), F.lit("given_up").alias("state")))
 
 
 def outcome(visited: DataFrame, pages: DataFrame) -> DataFrame:

@@ -8,17 +8,20 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spinneret.operators import documents, layout, links, ordering, postings, search, segments, terms, traversal
+from spinneret.operators import documents, layout, links, ordering, postings, prefixes, search, segments, terms, traversal
 from spinneret.plans.crawl_index import crawl_and_index, publish
 from spinneret.session import cut_lineage, scratch_path
-from spinneret.sources.index_files import read_segments, text_lines, write_index, write_segment
+from spinneret.sources.index_files import SAMPLE_EVERY, read_segments, text_lines, write_index, write_segment
 from spinneret.sources.tables import fetch, fetch_log, read_table, split_seeds
 from spinneret.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SAMPLE_EVERY = 64
 N_SEGMENTS = 4
+# Rows of a token block; small, so that the small tables have several.
+BLOCK_ROWS = 1 << 15
+# Batches that a table is fed to a stream in.
+N_BATCHES = 3
 
 _published: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
@@ -39,7 +42,7 @@ def segment(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The index of ``pages`` as a written segment. It is written once per session; the read side opens it."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _published:
-        _published[key] = publish(_pages(spark, sf_dir), scratch_path(spark, "index"), "pages")
+        _published[key] = publish(_pages(spark, sf_dir), scratch_path(spark, "index"), "pages", block_rows=BLOCK_ROWS)
     return _published[key]
 
 
@@ -220,6 +223,21 @@ def crawl_outcome(spark, sf_dir):
     return seen.groupBy("state", F.col("hop").cast("bigint").alias("hop")).agg(F.count(F.lit(1)).alias("n_urls"))
 
 
+def _page_attempts(spark, sf_dir):
+    """A fetch log of the pages: event i is an attempt at page i mod n, and fails if it is an error or a view."""
+    events = read_table(spark, f"{sf_dir}/events.parquet")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.col("url").alias("page_url"))
+    ids = events.withColumn("page_id", F.col("event_id") % pages.count())
+    return fetch_log(ids.join(pages, "page_id"), "page_url", ~F.col("event_type").isin("error", "view"))
+
+
+def crawl_retry(spark, sf_dir):
+    """The crawl of the linked pages where fetches fail: when each URL is queued, how often it is tried, what becomes of it."""
+    seen = traversal.crawl(_linked_pages(spark, sf_dir), _first_url(spark, sf_dir), log=_page_attempts(spark, sf_dir))
+    counts = [F.col(c).cast("bigint").alias(c) for c in ("hop", "attempts")]
+    return seen.select("url", *counts, "state")
+
+
 def _fetch_log(events):
     return fetch_log(events, "user_id", F.col("event_type") == "signup")
 
@@ -284,7 +302,14 @@ def token_dict_rejects(spark, sf_dir):
 
 
 def token_trie(spark, sf_dir):
-    return layout.trie(token_dict(spark, sf_dir)).withColumn("depth", F.col("depth").cast("bigint"))
+    return prefixes.trie(token_dict(spark, sf_dir)).withColumn("depth", F.col("depth").cast("bigint"))
+
+
+def token_automaton(spark, sf_dir):
+    """The transitions of the smallest automaton of the dictionary; a state is the first trie node in it, slot:depth."""
+    edges = prefixes.automaton(token_dict(spark, sf_dir))
+    state, target = (F.concat_ws(":", f"{end}_slot", f"{end}_depth").alias(end) for end in ("state", "target"))
+    return edges.select(state, "letter", target, "final")
 
 
 def segment_roundtrip(spark, sf_dir):
@@ -323,14 +348,14 @@ def _written_segments(spark, sf_dir):
         folder, now = scratch_path(spark, "segments"), datetime.now(timezone.utc)
         for segment_id in range(N_SEGMENTS):
             own = F.col("segment_id") == segment_id
-            write_segment(cut_lineage(rows.where(own)), docs.where(own), folder, str(segment_id), True, now)
+            write_segment(cut_lineage(rows.where(own)), docs.where(own), folder, str(segment_id), True, now, BLOCK_ROWS)
         _published[key] = read_segments(spark, folder)
     return _published[key]
 
 
 def segment_search(spark, sf_dir):
     written = _written_segments(spark, sf_dir)
-    found = segments.search_segments(_terms(spark, sf_dir), written["postings"], written["doc_table"])
+    found = segments.search_segments(_terms(spark, sf_dir), written)
     return found.select("term", F.col("segment_id").cast("bigint").alias("segment_id"), "url")
 
 
@@ -342,12 +367,13 @@ def segment_merge(spark, sf_dir):
 
 # --- read side ------------------------------------------------------------------------------------------------------
 def token_lookup(spark, sf_dir):
-    return search.look_up(_terms(spark, sf_dir), segment(spark, sf_dir)["token_dict"]).select("token", "n_docs", "offset")
+    written = segment(spark, sf_dir)
+    return search.look_up(_terms(spark, sf_dir), written["token_dict"], written["token_edges"]).select("token", "n_docs", "offset")
 
 
 def search_urls(spark, sf_dir):
     written = segment(spark, sf_dir)
-    return search.search(_terms(spark, sf_dir), written["postings"], written["doc_table"])
+    return search.search(_terms(spark, sf_dir), written["postings"], written["posting_edges"], written["doc_table"])
 
 
 def prefix_search(spark, sf_dir):
@@ -369,23 +395,29 @@ def sampled_index(spark, sf_dir):
 
 
 def sampled_lookup(spark, sf_dir):
-    return search.find_blocks(_terms(spark, sf_dir), sampled_index(spark, sf_dir))
+    """The sample before each term, from the sampled index as it was written."""
+    return search.find_samples(_terms(spark, sf_dir), segment(spark, sf_dir)["token_samples"])
 
 
 # --- streaming ------------------------------------------------------------------------------------------------------
-def _rewritten(spark, sf_dir, table, name):
-    """The table as a folder of several files, so that a stream takes it in several batches."""
-    path = scratch_path(spark, name)
-    spark.read.parquet(f"{sf_dir}/{table}.parquet").repartition(3).write.parquet(path)
-    return path
+def _in_batches(spark, table, batch, name):
+    """The table as a folder that a stream reads in ``N_BATCHES`` batches, and the files of each.
+
+    ``batch`` is the number of a row's batch. A stream takes files in the order in which they were written.
+    """
+    path, files = scratch_path(spark, name), table.rdd.getNumPartitions()
+    for number in range(N_BATCHES):
+        table.where(batch == number).repartition(files).write.mode("append").parquet(path)
+    return path, files
 
 
 def stream_index(spark, sf_dir):
-    source = _rewritten(spark, sf_dir, "pages", "page-files")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    source, files = _in_batches(spark, pages, F.col("page_id") % N_BATCHES, "page-files")
     out = scratch_path(spark, "stream-index")
-    jobs.index_stream(jobs.page_stream(spark, source), out, scratch_path(spark, "stream-state")).awaitTermination()
+    jobs.index_stream(jobs.page_stream(spark, source, files), out, scratch_path(spark, "stream-state")).awaitTermination()
     docs, rows = jobs.read_stream_index(spark, out)
-    return rows.join(docs.select("doc_id", "url"), "doc_id").select("token", "url")
+    return rows.join(docs.select("doc_id", "url"), "doc_id").select("token", "doc_id", "url")
 
 
 def stream_visited(spark, sf_dir):
@@ -400,11 +432,11 @@ def stream_visited(spark, sf_dir):
 
 
 def stream_retry(spark, sf_dir):
-    source = _rewritten(spark, sf_dir, "events", "event-files")
-    schema = spark.read.parquet(source).schema
-    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    source, files = _in_batches(spark, events, F.col("event_id") % N_BATCHES, "event-files")
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(source)
     out = scratch_path(spark, "stream-retry")
-    jobs.retry_stream(_fetch_log(events), out, scratch_path(spark, "stream-state")).awaitTermination()
+    jobs.retry_stream(_fetch_log(arriving), out, scratch_path(spark, "stream-state")).awaitTermination()
     return _ledger_columns(jobs.read_retry_ledger(spark, out))
 
 
@@ -412,9 +444,9 @@ def all_queries() -> dict[str, Query]:
     listed = [
         seed_urls, fetch_frontier, page_links, resolved_links, unvisited_links, visited_dedup, page_text, page_tokens,
         stemmed_vocab, doc_terms, doc_table, inverted_index, document_index, doc_frequency, doc_lookup, doc_listing,
-        doc_count, indexed_urls, crawl_reachable, crawl_outcome, retry_ledger, index_text_lines, index_table,
+        doc_count, indexed_urls, crawl_reachable, crawl_outcome, crawl_retry, retry_ledger, index_text_lines, index_table,
         postings_fixed, posting_gaps, postings_compact, document_compact, token_dict, token_dict_fixed,
-        token_dict_rejects, token_trie, segment_roundtrip, segment_meta, segment_search, segment_merge, token_lookup,
+        token_dict_rejects, token_trie, token_automaton, segment_roundtrip, segment_meta, segment_search, segment_merge, token_lookup,
         search_urls, prefix_search, prefix_completion, token_range, sampled_index, sampled_lookup, stream_index,
         stream_visited, stream_retry, href_cases, doc_table_extend, crawl_index, dump_text, dump_table,
     ]

@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 
+from spinneret.operators.blocks import BLOCK_ROWS
 from spinneret.operators.documents import build_doc_table
 from spinneret.operators.postings import inverted_index
 from spinneret.operators.traversal import crawl
@@ -29,8 +30,11 @@ def crawl_and_index(pages: DataFrame, seeds: DataFrame, max_hops: int | None = N
     return doc_table, inverted_index(pages, doc_table)
 
 
-def publish(pages: DataFrame, folder: str, segment_id: str, compact: bool = True) -> dict[str, DataFrame]:
+def publish(
+    pages: DataFrame, folder: str, segment_id: str, compact: bool = True, block_rows: int = BLOCK_ROWS
+) -> dict[str, DataFrame]:
     """Build the index of a snapshot, write it as one segment and open that segment."""
     doc_table, postings = build_index(pages)
     now = datetime.now(timezone.utc)
-    return read_segment(pages.sparkSession, write_segment(cut_lineage(postings), doc_table, folder, segment_id, compact, now))
+    base = write_segment(cut_lineage(postings), doc_table, folder, segment_id, compact, now, block_rows)
+    return read_segment(pages.sparkSession, base, segment_id)

@@ -217,6 +217,15 @@ _CTES["trie_steps"] = """
            CASE WHEN depth < length(token) THEN substr(token, depth + 1, 1) END AS next
     FROM (SELECT token, "offset", unnest(range(0, length(token) + 1)) AS depth FROM dict)"""
 
+# Every prefix with the endings that make it a token; prefixes with the same endings are one state, named after the first.
+_CTES["endings"] = """
+    SELECT substr(token, 1, depth) AS prefix, depth, min(slot) AS slot, string_agg(substr(token, depth + 1), ' ' ORDER BY token) AS lang,
+           bool_or(depth = length(token)) AS final
+    FROM (SELECT token, row_number() OVER (ORDER BY token) - 1 AS slot, unnest(range(0, length(token) + 1)) AS depth FROM dict)
+    GROUP BY prefix, depth"""
+_CTES["states"] = """
+    SELECT lang, min(struct_pack(slot := slot, depth := depth)) AS first FROM endings GROUP BY lang"""
+
 # --- queries --------------------------------------------------------------------------------------------------------
 _QUERIES: dict[str, str] = {
     "seed_urls": "SELECT url FROM pages UNION ALL SELECT url || '#again' FROM pages",
@@ -269,6 +278,13 @@ _QUERIES: dict[str, str] = {
               UNION ALL
               SELECT DISTINCT dst_url, 'given_up', CAST(1 AS BIGINT) FROM links WHERE dst_url NOT IN (SELECT url FROM pages))
         GROUP BY state, hop""",
+    "crawl_retry": """
+        SELECT p.url, t.hop, t.attempts, CASE WHEN t.fetched THEN 'fetched' ELSE 'given_up' END AS state
+        FROM tries t JOIN pages p ON p.page_id = t.page_id
+        UNION ALL
+        SELECT l.dst_url, min(t.hop + t.attempts), CAST(4 AS BIGINT), 'given_up'
+        FROM tries t JOIN links l ON l.page_id = t.page_id
+        WHERE t.fetched AND l.dst_url NOT IN (SELECT url FROM pages) GROUP BY l.dst_url""",
     "retry_ledger": """
         WITH attempts AS (
             SELECT CAST(user_id AS VARCHAR) AS url, event_id, event_type = 'signup' AS ok,
@@ -304,6 +320,12 @@ _QUERIES: dict[str, str] = {
                max("offset") IS NOT NULL AS is_terminal, coalesce(max("offset"), -1) AS "offset",
                count(DISTINCT next) AS n_children
         FROM trie_steps GROUP BY prefix, depth""",
+    "token_automaton": """
+        SELECT s.first.slot || ':' || s.first.depth AS state, right(c.prefix, 1) AS letter, t.first.slot || ':' || t.first.depth AS target, c.final
+        FROM states s
+        JOIN endings p ON p.slot = s.first.slot AND p.depth = s.first.depth
+        JOIN endings c ON c.depth = p.depth + 1 AND substr(c.prefix, 1, p.depth) = p.prefix
+        JOIN states t ON t.lang = c.lang""",
     "segment_roundtrip": """
         SELECT p.token, f."offset", s.slot, d.url
         FROM postings p JOIN doc_table d ON p.doc_id = d.doc_id JOIN fixed f ON p.token = f.token
@@ -311,7 +333,8 @@ _QUERIES: dict[str, str] = {
         ON p.token = s.token""",
     "segment_meta": """
         SELECT 'pages' AS segment_id, (SELECT count(*) FROM frequency) AS token_count,
-               (SELECT count(*) FROM doc_table) AS doc_count""",
+               (SELECT count(*) FROM doc_table) AS doc_count,
+               (SELECT min(token) FROM frequency) AS first_token, (SELECT max(token) FROM frequency) AS last_token""",
     "segment_search": """
         SELECT p.token AS term, d.page_id % 4 AS segment_id, d.url FROM postings p JOIN doc_table d ON p.doc_id = d.doc_id
         WHERE p.token IN (SELECT term FROM asked)""",
@@ -329,7 +352,10 @@ _QUERIES: dict[str, str] = {
     "token_range": "SELECT token, n_docs, \"offset\" FROM dict WHERE token BETWEEN 'con' AND 'est'",
     "sampled_index": 'SELECT block, token, "offset", n_tokens FROM samples',
     "sampled_lookup": "SELECT a.term, max(s.block) AS block FROM asked a LEFT JOIN samples s ON s.token <= a.term GROUP BY a.term",
-    "stream_index": "SELECT p.token, d.url FROM postings p JOIN doc_table d ON p.doc_id = d.doc_id",
+    "stream_index": """
+        SELECT p.token, s.doc_id, s.url
+        FROM (SELECT url, row_number() OVER (ORDER BY min(page_id) % 3, url) - 1 AS doc_id FROM pages GROUP BY url) s
+        JOIN doc_table d ON d.url = s.url JOIN postings p ON p.doc_id = d.doc_id""",
     "stream_visited": "SELECT DISTINCT url FROM queue",
 }
 _QUERIES["stream_retry"] = _QUERIES["retry_ledger"]
@@ -342,6 +368,27 @@ _CTES["walk"] = """
         UNION
         SELECT e.dst, w.hop + 1 FROM way w JOIN edges e ON w.page_id = e.src WHERE w.hop < (SELECT count(*) FROM pages))
     SELECT page_id, hop FROM way"""
+# How many attempts at each page fail before the first one that succeeds.
+_CTES["page_failures"] = """
+    SELECT page_id, count(*) AS n
+    FROM (SELECT event_id % (SELECT count(*) FROM pages) AS page_id,
+                 max(event_type NOT IN ('error', 'view')) OVER (
+                     PARTITION BY event_id % (SELECT count(*) FROM pages) ORDER BY ts, event_id) AS answered
+          FROM events)
+    WHERE NOT answered GROUP BY page_id"""
+# The crawl, round by round: a page's row is replaced with each new attempt.
+_CTES["tries"] = """
+    WITH RECURSIVE t(page_id, round, attempts) USING KEY (page_id) AS (
+        SELECT CAST(1 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS BIGINT)
+        UNION
+        (SELECT w.page_id, w.round + 1, w.attempts + 1
+         FROM t w JOIN page_failures f ON f.page_id = w.page_id WHERE w.attempts <= f.n AND w.attempts <= 3
+         UNION ALL
+         SELECT DISTINCT e.dst, w.round + 1, CAST(1 AS BIGINT)
+         FROM t w JOIN edges e ON e.src = w.page_id LEFT JOIN page_failures f ON f.page_id = w.page_id
+         WHERE w.attempts > coalesce(f.n, 0) AND NOT EXISTS (SELECT 1 FROM recurring.t r WHERE r.page_id = e.dst)))
+    SELECT t.page_id, t.round - t.attempts + 1 AS hop, t.attempts, t.attempts > coalesce(f.n, 0) AS fetched
+    FROM t LEFT JOIN page_failures f ON f.page_id = t.page_id"""
 _CTES["edges"] = """
     SELECT page_id AS src, dst
     FROM (SELECT page_id, unnest([2 * page_id + 1, 2 * page_id + 2,

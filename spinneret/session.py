@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -21,6 +22,9 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.checkpoint.compress", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         .getOrCreate()
     )
 

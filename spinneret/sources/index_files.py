@@ -8,11 +8,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spinneret.operators import layout as layouts
+from spinneret.operators.blocks import BLOCK_ROWS, block_edges, number_of_blocks, write_blocks
 from spinneret.operators.postings import posting_blocks
+from spinneret.operators.prefixes import trie_nodes
+from spinneret.operators.search import sampled_index
 from spinneret.operators.segments import segment_meta
 from spinneret.session import cut_lineage
 
-SEGMENT_TABLES = ["postings", "token_dict", "token_dict_fixed", "token_dict_rejects", "token_dict_trie", "doc_table"]
+# Every how many dictionary entries the sampled index has one.
+SAMPLE_EVERY = 64
+TRIE = ["slot", "depth", "val", "is_terminal", "offset", "n_children"]
+SCHEMAS = {
+    "postings": "token string, doc_id bigint, block bigint",
+    "posting_edges": "block bigint, first string, last string",
+    "token_dict": "token string, n_docs bigint, n_bytes bigint, offset bigint, block bigint",
+    "token_edges": "block bigint, first string, last string",
+    "token_samples": "block bigint, token string, offset bigint, n_tokens bigint",
+    "token_dict_fixed": "slot bigint, token string, offset bigint, record_at bigint",
+    "token_dict_rejects": "token string, token_bytes bigint",
+    "token_dict_trie": "slot bigint, depth int, val string, is_terminal boolean, offset bigint, n_children bigint",
+    "doc_table": "doc_id bigint, url string",
+}
+META = "token_count bigint, doc_count bigint, first_token string, last_token string, created_at string"
+# The tables in blocks, and where the edges of their blocks are.
+EDGES = {"postings": "posting_edges", "token_dict": "token_edges"}
+
+
+# --- Fixed values: the lines of a text dump -------------------------------------------------------------------------
+TOKEN_LINE = ("Token: Token[key=", "]")
+DOCUMENT_LINE = ("------DocId: ", "-----")
+# --------------------------------------------------------------------------------------------------------------------
 
 
 def text_lines(postings: DataFrame) -> DataFrame:
@@ -20,11 +45,10 @@ def text_lines(postings: DataFrame) -> DataFrame:
     heads = postings.select("token").distinct().select(
         "token",
         F.lit(-1).cast("bigint").alias("doc_id"),
-        F.concat(F.lit("Token: Token[key="), F.col("token"), F.lit("]")).alias("line"),
-    )
-    docs = postings.select(
-        "token", "doc_id", F.concat(F.lit("------DocId: "), F.col("doc_id").cast("string"), F.lit("-----")).alias("line")
+        F.concat(F.lit(TOKEN_LINE[0]), F.col("token"), F.lit(TOKEN_LINE[1])).alias("line"),
     )
+    line = F.concat(F.lit(DOCUMENT_LINE[0]), F.col("doc_id").cast("string"), F.lit(DOCUMENT_LINE[1]))
+    docs = postings.select("token", "doc_id", line.alias("line"))
     return heads.unionByName(docs)
 
 
@@ -50,52 +74,55 @@ def write_index(postings: DataFrame, base: str, fmt: str, at: datetime) -> str:
     return path
 
 
-def _write_sorted(df: DataFrame, path: str, *keys: str, n_files: int | None = None, **options: str) -> None:
-    ranged = df.repartitionByRange(n_files, *keys) if n_files else df.repartitionByRange(*keys)
-    ranged.sortWithinPartitions(*keys).write.options(**options).parquet(path)
+def _write_sorted(df: DataFrame, path: str, *keys: str) -> None:
+    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
 
 
 def write_segment(
-    postings: DataFrame, doc_table: DataFrame, folder: str, segment_id: str, compact: bool, created_at: datetime
+    postings: DataFrame, doc_table: DataFrame, folder: str, segment_id: str, compact: bool, created_at: datetime, block_rows: int = BLOCK_ROWS
 ) -> str:
-    """Write one segment: postings, three dictionaries, document table, metadata. The folder must be new.
-
-    Tokens too long for the fixed-width dictionary are a table of their own.
+    """Write one segment: postings and dictionary in blocks, the other dictionaries, document table, metadata.
 
-    ``token`` gets a Parquet Bloom filter, so that a look-up skips the files that cannot hold it.
+    Each table of ``folder`` has a partition for each segment, whose id must be new; returns the folder. Tokens too long for the fixed-width dictionary are a table of their own. The trie is written
+    as nodes, which do not spell their prefixes. ``token`` gets a Parquet Bloom filter, so that a look-up skips the row
+    groups of a block that cannot hold it.
     """
-    root = f"{folder.rstrip('/')}/segment_id={segment_id}"
+    base = folder.rstrip("/")
+
+    def at(name: str) -> str:
+        return f"{base}/{name}/segment_id={segment_id}"
+
     token_dict = cut_lineage(layouts.layout(postings, compact))
-    # The files are ranges of tokens, so each holds about its share of them.
-    n_files = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bloom = {
-        "parquet.bloom.filter.enabled#token": "true",
-        "parquet.bloom.filter.expected.ndv#token": str(2 * token_dict.count() // n_files + 1),
-    }
-    _write_sorted(postings.select("token", "doc_id"), f"{root}/postings", "token", "doc_id", n_files=n_files, **bloom)
-    _write_sorted(token_dict, f"{root}/token_dict", "token", n_files=n_files, **bloom)
-    _write_sorted(layouts.fixed_dictionary(token_dict), f"{root}/token_dict_fixed", "slot")
-    _write_sorted(layouts.too_long_tokens(token_dict), f"{root}/token_dict_rejects", "token")
-    _write_sorted(layouts.trie(token_dict), f"{root}/token_dict_trie", "prefix")
-    _write_sorted(doc_table.select("doc_id", "url"), f"{root}/doc_table", "doc_id")
-    meta = segment_meta(postings, doc_table, segment_id)
+    n_tokens, n_rows = token_dict.agg(F.count(F.lit(1)), F.sum("n_docs")).first()
+    for name, table, keys, n in (("postings", postings.select("token", "doc_id"), ("token", "doc_id"), n_rows or 0), ("token_dict", token_dict, ("token",), n_tokens)):
+        n_blocks = number_of_blocks(n, block_rows)
+        bloom = {"parquet.bloom.filter.enabled#token": "true", "parquet.bloom.filter.expected.ndv#token": str(2 * n_tokens // n_blocks + 1)}
+        write_blocks(table, at(name), *keys, n_blocks=n_blocks, **bloom)
+    spark = postings.sparkSession
+    for name, edges in EDGES.items():
+        block_edges(spark.read.schema(SCHEMAS[name]).parquet(at(name))).coalesce(1).write.parquet(at(edges))
+    _write_sorted(sampled_index(token_dict, SAMPLE_EVERY), at("token_samples"), "block")
+    _write_sorted(layouts.fixed_dictionary(token_dict), at("token_dict_fixed"), "slot")
+    _write_sorted(layouts.too_long_tokens(token_dict), at("token_dict_rejects"), "token")
+    _write_sorted(trie_nodes(token_dict)[0].select(*TRIE), at("token_dict_trie"), "slot", "depth")
+    _write_sorted(doc_table.select("doc_id", "url"), at("doc_table"), "doc_id")
+    meta = segment_meta(token_dict, doc_table, segment_id)
     stamped = meta.withColumn("created_at", F.lit(f"{created_at:%Y-%m-%dT%H:%M:%SZ}"))
-    stamped.write.json(f"{root}/segment_meta")
-    return root
+    stamped.drop("segment_id").write.json(at("segment_meta"))
+    return base
 
 
 def read_segments(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The tables of all segments in a folder by name, each with the column ``segment_id``."""
-    base = folder.rstrip("/")
-    return {
-        name: spark.read.option("basePath", base).parquet(f"{base}/segment_id=*/{name}").withColumn("segment_id", F.col("segment_id").cast("string"))
-        for name in SEGMENT_TABLES
-    }
+    """The tables of all segments in a folder by name, each with the column ``segment_id`` as the folders spell it."""
+    tables = {name: spark.read.schema(f"{schema}, segment_id string").parquet(f"{folder}/{name}") for name, schema in SCHEMAS.items()}
+    tables["segment_meta"] = spark.read.schema(f"{META}, segment_id string").json(f"{folder}/segment_meta")
+    return tables
 
 
-def read_segment(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The tables of one segment by name; the folder's own name is not read as a column."""
-    tables = {name: spark.read.parquet(f"{root}/{name}") for name in SEGMENT_TABLES}
-    schema = "segment_id string, token_count bigint, doc_count bigint, created_at string"
-    tables["segment_meta"] = spark.read.schema(schema).json(f"{root}/segment_meta")
+def read_segment(spark: SparkSession, folder: str, segment_id: str) -> dict[str, DataFrame]:
+    """The tables of one segment by name."""
+    at = f"segment_id={segment_id}"
+    tables = {name: spark.read.schema(schema).parquet(f"{folder}/{name}/{at}") for name, schema in SCHEMAS.items()}
+    meta = spark.read.schema(META).json(f"{folder}/segment_meta/{at}")
+    tables["segment_meta"] = meta.select(F.lit(segment_id).alias("segment_id"), *meta.columns)
     return tables

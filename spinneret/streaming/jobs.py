@@ -1,19 +1,32 @@
-"""Streaming index build, visited set and retry state."""
+"""Streaming index build, visited set and retry state.
+
+What a stream has to know of earlier batches is in its state store, keyed by URL; a batch touches the keys that it brings
+and no others. Set the RocksDB state store on a cluster, as :func:`spinneret.session.local_session` does: it keeps the
+state on disk and writes what changed.
+"""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from spinneret.operators.documents import extend_doc_table
-from spinneret.operators.postings import inverted_index
-from spinneret.operators.traversal import RETRIES, early_attempts, retry_ledger
+from spinneret.operators.documents import build_doc_table
+from spinneret.operators.postings import index_tokens
+from spinneret.operators.terms import token_arrays
+from spinneret.operators.traversal import RETRIES
 from spinneret.session import cut_lineage
 
 PAGE_SCHEMA = "page_id bigint, url string, html string"
 _DOC_SCHEMA = "doc_id bigint, url string, page_id bigint, batch bigint"
 _POSTING_SCHEMA = "token string, doc_id bigint, batch bigint"
+_NEXT_SCHEMA = "next_id bigint"
+_LEDGER = "url string, failures bigint, state string, closed_at bigint, closed_seq bigint"
 
 
 def page_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
@@ -30,28 +43,26 @@ def read_stream_index(spark: SparkSession, out: str) -> tuple[DataFrame, DataFra
 def index_stream(pages: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Append each micro-batch of pages to the index under ``out``; ids never change once given.
 
-    A batch writes into folders named by its number and reads only those of earlier batches, so a batch that is run
-    again after a failure gives the same ids and replaces its own output.
+    Pages are parsed where they are read. Which URLs are new, the state store says, so a batch reads no document of earlier
+    ones; its ids follow the one number that the batch before it left, in URL order. A batch writes into folders named by
+    its number, so one that is run again after a failure replaces its own output. A URL is indexed from its first page row;
+    of several in one batch any one counts.
     """
+    spark = pages.sparkSession
 
     def add_batch(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        docs_path, postings_path = f"{out}/doc_table", f"{out}/postings"
-        if number == 0:
-            known = spark.createDataFrame([], _DOC_SCHEMA)
-        else:
-            known = spark.read.schema(_DOC_SCHEMA).parquet(docs_path).where(F.col("batch") < number)
-        new = cut_lineage(extend_doc_table(known, batch, known.count()))
-        postings = inverted_index(batch, new)
-        new.write.mode("overwrite").parquet(f"{docs_path}/batch={number}")
-        postings.write.mode("overwrite").parquet(f"{postings_path}/batch={number}")
+        lists = cut_lineage(batch)
+        start = spark.read.schema(_NEXT_SCHEMA).parquet(f"{out}/next_id/batch={number - 1}").first()[0] if number else 0
+        docs = build_doc_table(lists).withColumn("doc_id", F.col("doc_id") + F.lit(start))
+        docs = cut_lineage(docs)
+        index_tokens(lists.select("page_id", "tokens"), docs).write.mode("overwrite").parquet(f"{out}/postings/batch={number}")
+        docs.write.mode("overwrite").parquet(f"{out}/doc_table/batch={number}")
+        next_id = docs.agg((F.count(F.lit(1)) + F.lit(start)).alias("next_id"))
+        next_id.write.mode("overwrite").parquet(f"{out}/next_id/batch={number}")
 
-    return (
-        pages.writeStream.foreachBatch(add_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    lists = token_arrays(pages, "url").where("url IS NOT NULL")
+    first = first_sightings(lists)
+    return first.writeStream.foreachBatch(add_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def first_sightings(urls: DataFrame, event_time: str | None = None, bound: str | None = None) -> DataFrame:
@@ -61,23 +72,80 @@ def first_sightings(urls: DataFrame, event_time: str | None = None, bound: str |
     return urls.withWatermark(event_time, bound).dropDuplicatesWithinWatermark(["url"])
 
 
+def _early(rows: pd.DataFrame, retries: int) -> pd.DataFrame:
+    """The first success and the first ``retries + 1`` failures of each URL."""
+    rows = rows.sort_values(["ts", "seq"], kind="stable")
+    nth = rows.groupby(["url", "ok"], sort=False).cumcount()
+    return rows[(rows["ok"] & (nth == 0)) | (~rows["ok"] & (nth <= retries))]
+
+
+def _folded(ledger: dict, rows: pd.DataFrame, retries: int) -> dict:
+    """The ledger with more attempts: at most ``retries + 1`` failures and one success, the earliest."""
+    attempts = list(zip(rows["ts"].tolist(), rows["seq"].tolist(), rows["ok"].tolist()))
+    failures = sorted([*map(tuple, ledger["failures"]), *((t, s) for t, s, ok in attempts if not ok)])[: retries + 1]
+    successes = [*([tuple(ledger["ok"])] if ledger["ok"] else []), *((t, s) for t, s, ok in attempts if ok)]
+    return {"failures": failures, "ok": min(successes) if successes else None}
+
+
+def _fate(ledger: dict, retries: int) -> tuple:
+    """``(failures, state, closed_at, closed_seq)``, as the retry ledger of a whole log has them."""
+    ok = ledger["ok"]
+    counted = [f for f in ledger["failures"] if ok is None or f < ok]
+    if len(counted) > retries:
+        return len(counted), "given_up", *counted[-1]
+    return (len(counted), "fetched", *ok) if ok else (len(counted), "pending", None, None)
+
+
+def _needed(ledger: dict, retries: int) -> dict:
+    """The ledger without attempts that no later arrival can make count.
+
+    These are failures after the success, and a success after the failure that closes the URL.
+    """
+    ok = ledger["ok"]
+    failures = [f for f in ledger["failures"] if ok is None or f < ok]
+    return {"failures": failures, "ok": None if len(failures) > retries else ok}
+
+
 def retry_stream(log: DataFrame, out: str, checkpoint: str, retries: int = RETRIES) -> StreamingQuery:
-    """Keep what decides the fate of each URL of a streaming ``(url, ts, seq, ok)`` log.
+    """Keep the fate of each URL of a streaming ``(url, ts, seq, ok)`` log.
 
-    A micro-batch adds at most ``retries + 2`` rows per URL, in a folder named by its number. The decisive attempts of
-    all batches together hold those of the whole log, in whatever order the attempts arrive.
+    The state of a URL is its earliest failures, ``retries + 1`` of them at most, and its earliest success, whatever the
+    order in which attempts arrive. A batch reads and writes the states of its own URLs, and only fates that it changes go
+    out, into a folder named by its number; a closed URL that nothing new is told of costs nothing. Attempts are thinned
+    out before the shuffle, per Arrow batch, so a hot URL sends a few rows of each.
     """
 
+    def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield _early(batch, retries)
+
+    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        ledger = json.loads(state.get[0]) if state.exists else {"failures": [], "ok": None}
+        before, known, new = _fate(ledger, retries), state.exists, ledger
+        for batch in batches:
+            new = _folded(new, _early(batch.assign(url=key[0]), retries), retries)
+        text = json.dumps(_needed(new, retries))
+        if not known or text != state.get[0]:
+            state.update((text,))
+        after = _fate(new, retries)
+        if not known or after != before:
+            row = dict(zip(("url", "failures", "state", "closed_at", "closed_seq"), (*key, *after)))
+            yield pd.DataFrame([row]).astype({"closed_at": "Int64", "closed_seq": "Int64"})
+
     def add_batch(batch: DataFrame, number: int) -> None:
-        kept = early_attempts(batch, retries).select("url", "ts", "seq", "ok")
-        kept.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
+    rows = log.where("url IS NOT NULL AND ok IS NOT NULL").select("url", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"), "seq", "ok")
+    thinned = rows.mapInPandas(thin, rows.schema)
+    fates = thinned.groupBy("url").applyInPandasWithState(update, _LEDGER, "ledger string", "update", GroupStateTimeout.NoTimeout)
     return (
-        log.writeStream.foreachBatch(add_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        fates.writeStream.foreachBatch(add_batch).outputMode("update").option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
     )
 
 
-def read_retry_ledger(spark: SparkSession, out: str, retries: int = RETRIES) -> DataFrame:
-    """The retry decisions as of the batches written so far."""
-    log = spark.read.parquet(out)
-    return retry_ledger(log.select("url", "ts", "seq", "ok"), retries)
+def read_retry_ledger(spark: SparkSession, out: str) -> DataFrame:
+    """The retry decisions as of the batches written so far: the last fate that was told of each URL."""
+    told = spark.read.schema(f"{_LEDGER}, batch bigint").parquet(out)
+    fate = F.struct("failures", "state", F.timestamp_micros("closed_at").alias("closed_at"), "closed_seq")
+    return told.groupBy("url").agg(F.max_by(fate, "batch").alias("fate")).select("url", "fate.*")

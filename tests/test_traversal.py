@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from spinneret.operators import traversal
+from spinneret.operators import rounds, traversal
 from spinneret.operators.traversal import RETRIES, crawl, dequeue_unvisited, reachable, retry_ledger
 from spinneret.plans.crawl_index import build_index
 from spinneret.sources.tables import fetch
@@ -28,7 +28,7 @@ def _walk(edges, seeds):
 
 @pytest.mark.parametrize("small", [100_000, 5])
 def test_reachable_with_cycles_islands_and_a_long_chain(spark, monkeypatch, small):
-    monkeypatch.setattr(traversal, "SMALL_TABLE", small)
+    monkeypatch.setattr(rounds, "SMALL_TABLE", small)
     edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "c"), ("x", "y"), ("b", "gone"), ("a", "b")]
     edges += [(f"n{i}", f"n{i + 1}") for i in range(22)] + [("c", "n0"), ("n20", "a")]
     links = spark.createDataFrame(edges, "src_url string, dst_url string")
@@ -39,7 +39,7 @@ def test_reachable_with_cycles_islands_and_a_long_chain(spark, monkeypatch, smal
 
 
 def test_reachable_with_a_source_that_has_most_links(spark, monkeypatch):
-    monkeypatch.setattr(traversal, "SMALL_TABLE", 50)
+    monkeypatch.setattr(rounds, "SMALL_TABLE", 50)
     rng = random.Random(9)
     edges = [("hub", f"p{i}") for i in range(900)] + [(f"p{rng.randint(0, 1200)}", f"p{rng.randint(0, 1200)}") for _ in range(900)]
     edges += [("p3", "hub"), ("s", "p3")]
@@ -57,6 +57,71 @@ def test_crawl_outcome_and_fetch(spark, site):
     assert fetched == {"page1.html": True, "ilto:x@y.z": False}
 
 
+def _crawl_by_hand(links, seeds, outcomes, retries):
+    """A queue in rounds, as a crawler keeps it."""
+    seen, due, found, hop = {}, [(u, 1) for u in dict.fromkeys(seeds)], {}, 0
+    seen = {u: 0 for u, _ in due}
+    while due:
+        hop += 1
+        later, new = [], []
+        for url, attempt in due:
+            log = outcomes.get(url, "")
+            ok = url in links and (log[attempt - 1] == "+" if attempt <= len(log) else True)
+            if ok:
+                found[url] = (seen[url], attempt, "fetched")
+                new += links[url]
+            elif attempt > retries:
+                found[url] = (seen[url], attempt, "given_up")
+            else:
+                later.append((url, attempt + 1))
+        fresh = [u for u in dict.fromkeys(new) if u not in seen]
+        seen |= dict.fromkeys(fresh, hop)
+        due = later + [(u, 1) for u in fresh]
+    return found
+
+
+@pytest.mark.parametrize("seed,n", [(1, 30), (2, 120), (3, 400)])
+def test_crawl_with_retries(spark, monkeypatch, seed, n):
+    """Several hops; pages that answer at attempt 1 to 4, give up after 4, or are no pages; several blocks of ids."""
+    monkeypatch.setattr(rounds, "SMALL_TABLE", 100_000 if seed < 3 else 20)
+    rng = random.Random(seed)
+    urls = [f"http://s.com/{i}" for i in range(n)]
+    links = {u: [rng.choice(urls + ["http://out.com/x", "http://out.com/y"]) for _ in range(rng.randint(0, 4))] for u in urls}
+    links[urls[0]] = urls[1:5]
+    outcomes = {u: "-" * rng.randint(0, 5) + "+" * rng.randint(0, 2) for u in urls if rng.random() < 0.6}
+    outcomes |= {urls[0]: "--+", "http://out.com/x": "+"}
+    pages = [(i, u, "<body>" + "".join(f'<a href="{v}">x</a>' for v in links[u] * 2)) for i, u in enumerate(urls)]
+    pages.append((n, urls[1], f'<a href="{urls[2]}">a second snapshot</a>'))
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    log = spark.createDataFrame(_log(outcomes), LOG)
+    seeds = [urls[0], "http://nowhere.com/", urls[0]]
+    got = {r.url: (r.hop, r.attempts, r.state) for r in crawl(frame, _urls(spark, seeds), log=log).collect()}
+    want = _crawl_by_hand(links, seeds, outcomes, RETRIES)
+    assert got == want and len(want) > 3
+    assert {a for _, a, s in want.values() if s == "fetched"} >= ({1, 2, 3, 4} if n > 100 else {1})
+
+
+def test_a_crawl_that_ends_early(spark):
+    urls = [f"http://s.com/{i}" for i in range(4)]
+    pages = [(i, u, f'<a href="{v}">x</a>') for i, (u, v) in enumerate(zip(urls, urls[1:] + ["http://out.com/"]))]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    log = spark.createDataFrame(_log({urls[1]: "--+"}), LOG)
+    got = {r.url[-1]: (r.hop, r.attempts, r.state) for r in crawl(frame, _urls(spark, urls[:1]), max_hops=2, log=log).collect()}
+    assert got == {"0": (0, 1, "fetched"), "1": (1, 2, "pending")}
+    none = crawl(frame, _urls(spark, []), log=log)
+    assert none.count() == 0
+    empty = spark.createDataFrame([], "page_id bigint, url string, html string")
+    assert [tuple(r) for r in crawl(empty, _urls(spark, ["u"])).collect()] == [("u", 0, 4, "given_up")]
+
+
+def test_ids_of_many_masks(spark, monkeypatch):
+    """A chain that jumps from mask to mask, and back; bit 63 is the sign."""
+    ids = [k * 40_000 for k in range(6)] + [7, 63, 64, 127, 128, 1 << 40]
+    edges = spark.createDataFrame(list(zip(ids, ids[1:])) + [(ids[-1], 0)], "src bigint, dst bigint")
+    seen = rounds.walk(edges, spark.createDataFrame([(0,)], "id bigint")).collect()
+    assert sorted((r.hop, r.id, r.attempts, r.state) for r in seen) == [(k, i, 1, "fetched") for k, i in enumerate(ids)]
+
+
 def test_dequeue(spark):
     left = dequeue_unvisited(_urls(spark, ["a", "b", "b", "c"]), _urls(spark, ["c"]))
     assert sorted(r.url for r in left.collect()) == ["a", "b"]
@@ -112,6 +177,27 @@ def test_retry_stream_equals_batch_whatever_the_order(spark, tmp_path):
     assert _fates(jobs.read_retry_ledger(spark, str(tmp_path / "out"))) == _brute(OUTCOMES)
 
 
+def _folder_rows(spark, folder):
+    return {p.name: sorted(r.url for r in spark.read.parquet(str(p)).collect()) for p in sorted(folder.glob("batch=*"))}
+
+
+def test_retry_stream_leaves_closed_urls_alone(spark, tmp_path):
+    """A batch writes the fates that it changes; late attempts of closed URLs change nothing, earlier ones do."""
+    batches = [
+        {"done": [(1, "-"), (2, "+")], "gone": [(i, "-") for i in range(1, 5)], "open": [(1, "-")]},
+        {"open": [(2, "-")], "done": [(9, "-"), (10, "+")], "gone": [(7, "+"), (8, "-")]},
+        {"open": [(3, "+")], "new": [(1, "+")], "done": [(0, "-")]},
+    ]
+    for batch in batches:
+        rows = [(u, START + timedelta(seconds=i), i, o == "+") for u, told in batch.items() for i, o in told]
+        spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    jobs.retry_stream(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert _folder_rows(spark, tmp_path / "out") == {"batch=0": ["done", "gone", "open"], "batch=1": ["open"], "batch=2": ["done", "new", "open"]}
+    fates = _fates(jobs.read_retry_ledger(spark, str(tmp_path / "out")))
+    assert fates == {"done": (2, "fetched", 2), "gone": (4, "given_up", 4), "open": (2, "fetched", 3), "new": (0, "fetched", 1)}
+
+
 def test_index_stream_equals_batch(spark, site, tmp_path):
     source = str(tmp_path / "in")
     again = site.selectExpr("page_id + 10 AS page_id", "url", "html")
@@ -156,3 +242,16 @@ def test_index_stream_batch_run_again(spark, site, tmp_path):
         jobs.index_stream(jobs.page_stream(spark, source), out, str(tmp_path / state)).awaitTermination()
     docs, rows = jobs.read_stream_index(spark, out)
     assert docs.count() == 3 and rows.count() == 32
+
+
+def test_index_stream_reads_no_earlier_documents(spark, site, tmp_path):
+    """Ids go on from one number; the document rows of earlier batches may be gone."""
+    source, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    site.where("page_id < 2").coalesce(1).write.parquet(source)
+    jobs.index_stream(jobs.page_stream(spark, source), out, state).awaitTermination()
+    (tmp_path / "out" / "doc_table").rename(tmp_path / "moved")
+    site.coalesce(1).write.mode("append").parquet(source)
+    jobs.index_stream(jobs.page_stream(spark, source), out, state).awaitTermination()
+    docs, rows = jobs.read_stream_index(spark, out)
+    assert [(r.doc_id, r.url[-10:]) for r in docs.collect()] == [(2, "page3.html")]
+    assert sorted({r.doc_id for r in rows.collect()}) == [0, 1, 2]
