@@ -1,11 +1,11 @@
 """The dictionary as a trie and as a minimal automaton, from tokens in order.
 
 In token order, a token adds only the nodes beyond its common prefix with the token before it, so a node belongs to the
-first token that has it and is known by that token's rank and its depth: a few bytes, however long the prefix. Each range
-of the order is walked once with the current path. What a node collects from later tokens - children, and what tells its
-right language - is collected along the path and is complete once the path leaves the node. Where the path comes in from
-an earlier range, the range passes on what it collected as edge rows, at most one for each depth of its first token; each
-goes to the last earlier range that has a node of its own at that depth. Nothing but these edge rows is shuffled.
+first token that has it and is known by that token's rank and its depth: a few bytes, however long the prefix. A range of
+the order is read in units of neighbouring tokens. At each depth the tokens of a node stand side by side in a unit, so its
+children and what tells its right language are sums over a run. Of the nodes that a unit shares with the token before it,
+it passes on what it collected as edge rows, at most one for each depth of its first token; each goes to the last earlier
+unit that has a node of its own at that depth. Nothing but these edge rows and the path at a unit's end is shuffled.
 
 A right language is the set of all endings that lead from a node to the end of a token. It is told by the exclusive or of
 the endings' 128-bit hashes. Nodes of one right language are one state of the smallest automaton that accepts just the
@@ -15,24 +15,23 @@ dictionary, so the states need no rounds from the leaves upwards.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spinneret.operators.ordering import POSITION, RANGE, in_ranges, rank_rows
+from spinneret.operators.ordering import RANGE, in_ranges, rank_rows
 from spinneret.session import cut_lineage
 
 # --- Fixed values of the layout -------------------------------------------------------------------------------------
 ROOT = "-"
 NO_OFFSET = -1
 # --------------------------------------------------------------------------------------------------------------------
-#: Rows that the walk hands over at a time.
-_FLUSH = 1 << 16
-# A node that nothing can be added to; the same, but hanging on an earlier range's node; one on the path at the end of its
-# range; and what a range collected for an earlier range's node.
+#: Letters of a unit, one longer token being a unit of its own, and bits of its number within a range.
+_UNIT_LETTERS, _UNIT_BITS = 1 << 21, 24
+# A node that nothing can be added to; the same, but hanging on an earlier unit's node; one on the path at the end of its
+# unit; and what a unit collected for an earlier unit's node.
 _COMPLETE, _HANGING, _OPEN, _EDGE = range(4)
 _COLUMNS = [
     ("kind", pa.int8()), ("range", pa.int64()), ("slot", pa.int64()), ("depth", pa.int32()), ("val", pa.string()),
@@ -46,99 +45,91 @@ _WALKED = (
 _NODE = ["slot", "depth", "val", "is_terminal", "offset", "parent", "n_children", "h1", "h2"]
 
 
-def common_prefix(a: str, b: str) -> int:
-    """How many characters two texts share from the start, by halving."""
-    low, high = 0, min(len(a), len(b))
-    while low < high:
-        middle = (low + high + 1) // 2
-        if a[low:middle] == b[low:middle]:
-            low = middle
-        else:
-            high = middle - 1
-    return low
-
-
-def ending_hashes(token: str) -> np.ndarray:
-    """Two 64-bit hashes for the ending after each depth, 0 to the token's length."""
-    found = [b""] * (len(token) + 1)
-    last = found[-1] = blake2b(digest_size=16).digest()
-    for depth in range(len(token) - 1, -1, -1):
-        last = found[depth] = blake2b(last + token[depth].encode("utf-8", "surrogatepass"), digest_size=16).digest()
-    return np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
-
-
-class _Path:
-    """The nodes of the current token, by depth. An owner of -1 is a node of an earlier range."""
-
-    def __init__(self, number: int, token: str):
-        self.number, self.token, self.rows = number, token, []
-        self.owner = np.full(len(token) + 1, -1, np.int64)
-        self.parent, self.offset = self.owner.copy(), self.owner.copy()
-        self.kids = np.zeros(len(token) + 1, np.int64)
-        self.hashes = np.zeros((len(token) + 1, 2), np.int64)
-
-    def leave(self, depth: int, still_open: bool = False) -> None:
-        """Hand over all nodes below ``depth``."""
-        ends = len(self.token)
-        if depth >= ends:
-            return
-        part = slice(depth + 1, ends + 1)
-        owner = self.owner[part]
-        done = _OPEN if still_open else np.where(self.parent[part] < 0, _HANGING, _COMPLETE)
-        kind = np.where(owner < 0, _EDGE, done)
-        depths = np.arange(depth + 1, ends + 1, dtype=np.int32)
-        self.rows.append([
-            kind.astype(np.int8), np.full(len(owner), self.number), owner, depths, list(self.token[depth:ends]), self.offset[part] != NO_OFFSET,
-            self.offset[part], self.parent[part], self.kids[part], *self.hashes[part].T,
-        ])
-
-    def enter(self, token: str, slot: int, offset: int, shared: int) -> None:
-        """Go on to the next token, of which ``shared`` characters are on the path already."""
-        size = len(token) + 1
-
-        def grown(old: np.ndarray, fill) -> np.ndarray:
-            new = np.full((size, *old.shape[1:]), fill, old.dtype)
-            new[: shared + 1] = old[: shared + 1]
-            return new
-
-        self.owner, self.kids, self.hashes = grown(self.owner, slot), grown(self.kids, 0), grown(self.hashes, 0)
-        self.parent, self.offset, self.token = grown(self.parent, slot), grown(self.offset, NO_OFFSET), token
-        self.parent[shared + 1] = self.owner[shared]
-        self.kids[shared : size - 1] += 1
-        self.offset[size - 1] = offset
-        self.hashes ^= ending_hashes(token)
-
-    def flushed(self) -> pa.RecordBatch:
-        columns = list(zip(*self.rows))
-        self.rows = []
-        arrays = []
-        for (name, kind), parts in zip(_COLUMNS, columns):
-            values = [v for p in parts for v in p] if name == "val" else np.concatenate(parts)
-            arrays.append(pa.array(values, kind))
-        return pa.RecordBatch.from_arrays(arrays, [name for name, _ in _COLUMNS])
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _shared(letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many letters each text shares, from the start, with the one before it; none for the first."""
+    shared = np.zeros(len(sizes), np.int64)
+    left, depth = np.arange(1, len(sizes)), 0
+    while len(left):
+        left = left[(sizes[left] > depth) & (sizes[left - 1] > depth)]
+        left = left[letters[starts[left] + depth] == letters[starts[left - 1] + depth]]
+        depth += 1
+        shared[left] = depth
+    return shared
+
+
+def _ending_hashes(letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Two 64-bit hashes of each text's ending after each depth; depth d of text t is at ``base[t] + d``."""
+    found = np.empty((int((sizes + 1).sum()), 2), np.uint64)
+    longest_first = np.argsort(-sizes, kind="stable")
+    now = np.empty((len(sizes), 2), np.uint64)
+    now[:] = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+    found[base + sizes] = _mixed(now)
+    for step in range(1, int(sizes.max(initial=0)) + 1):
+        longest_first = longest_first[: np.searchsorted(-sizes[longest_first], -step, side="right")]
+        place = sizes[longest_first] - step
+        letter = letters[starts[longest_first] + place].astype(np.uint64) + np.uint64(1)
+        now[longest_first] = _mixed(now[longest_first] * np.array([0x5851F42D4C957F2D, 0xDA942042E4DD58B5], np.uint64) + letter[:, None])
+        found[base[longest_first] + place] = _mixed(now[longest_first])
+    return found
+
+
+def _unit(number: int, before: str, tokens: list[str], slots: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+    """The nodes of some neighbouring tokens, with edge rows for those that the token ``before`` them has too."""
+    raw = [t.encode("utf-32-le", "surrogatepass") for t in [before, *tokens]]
+    letters, sizes = np.frombuffer(b"".join(raw), np.uint32), np.array([len(r) // 4 for r in raw])
+    starts = np.cumsum(sizes) - sizes
+    shared = _shared(letters, starts, sizes)[1:]
+    sizes, starts = sizes[1:], starts[1:]
+    # A place for each token and depth; sorted by depth, the tokens of a node stand side by side.
+    base = np.cumsum(sizes + 1) - (sizes + 1)
+    token = np.repeat(np.arange(len(tokens)), sizes + 1)
+    depth = np.arange(len(token)) - base[token]
+    hashes = _ending_hashes(letters, starts, sizes, base)
+    order = np.argsort(depth, kind="stable")
+    token, depth = token[order], depth[order]
+    begins = np.append(True, depth[1:] != depth[:-1]) | ((shared[token] < depth) & (depth > 0))
+    first = np.flatnonzero(begins)
+    last = np.append(first[1:], len(token)) - 1
+    node = np.empty(len(token), np.int64)
+    node[order] = np.cumsum(begins) - 1
+    owner, deep = token[first], depth[first]
+    inherited = (deep == 0) | ((owner == 0) & (deep <= shared[0]))
+    above = node[np.maximum(base[owner] + deep - 1, 0)]
+    n_children = np.bincount(above[~inherited], minlength=len(first))
+    parent = np.where(inherited | inherited[above], -1, slots[owner[above]])
+    done = np.where(token[last] == len(tokens) - 1, _OPEN, np.where(parent < 0, _HANGING, _COMPLETE))
+    ends = ~inherited & (deep == sizes[owner])
+    val = letters[np.maximum(starts[owner] + deep - 1, 0)].copy().view("<U1").astype(object)
+    val[deep == 0] = ROOT
+    summed = np.bitwise_xor.reduceat(hashes[order], first, axis=0).view(np.int64)
+    columns = [
+        np.where(inherited, _EDGE, done).astype(np.int8), np.full(len(first), number), np.where(inherited, -1, slots[owner]),
+        deep.astype(np.int32), val, ends, np.where(ends, offsets[owner], NO_OFFSET), parent, n_children, summed[:, 0], summed[:, 1],
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, _COLUMNS)], [name for name, _ in _COLUMNS])
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The nodes of one range of tokens; its root's row is an edge of depth 0."""
-    path, n_rows = None, 0
+    """The nodes of one range of tokens, unit by unit."""
+    before, unit = None, 0
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("_range", "_slot", "token", "offset", "_before_token"))
-        for number, slot, token, offset, before in zip(*columns):
-            if path is None:
-                path = _Path(number, before or "")
-            shared = common_prefix(path.token, token)
-            n_rows += len(path.token) - shared
-            if path.owner.max() >= 0 or path.kids.any():
-                path.leave(shared)
-            path.enter(token, slot, offset, shared)
-            if n_rows >= _FLUSH and path.rows:
-                yield path.flushed()
-                n_rows = 0
-    if path is not None:
-        path.leave(0, still_open=True)
-        root = [[_EDGE], [path.number], [-1], [0], [ROOT], [False], [NO_OFFSET], [-1], path.kids[:1], path.hashes[:1, 0], path.hashes[:1, 1]]
-        path.rows.append([c if k == 4 else np.array(c) for k, c in enumerate(root)])
-        yield path.flushed()
+        tokens = batch.column("token").to_pylist()
+        slots, offsets = (batch.column(c).to_numpy() for c in ("_slot", "offset"))
+        cuts = np.cumsum([len(t) for t in tokens]) // _UNIT_LETTERS
+        edges = [0, *(np.flatnonzero(cuts[1:] != cuts[:-1]) + 1).tolist(), len(tokens)] if tokens else []
+        for start, end in zip(edges, edges[1:]):
+            if before is None:
+                before = batch.column("_before_token")[0].as_py() or ""
+            number = (batch.column(RANGE)[0].as_py() << _UNIT_BITS) + unit
+            yield _unit(number, before, tokens[start:end], slots[start:end], offsets[start:end])
+            before, unit = tokens[end - 1], unit + 1
 
 
 def trie_nodes(token_dict: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -164,16 +155,16 @@ def trie_nodes(token_dict: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _joined_edges(rows: DataFrame) -> DataFrame:
-    """The nodes on the paths between ranges, each with what later ranges passed on to it.
+    """The nodes on the paths between units, each with what later units passed on to it.
 
-    An edge row belongs to the last open node of its depth in an earlier range; the first range's root is the root. The
-    windows go over one row per range and depth.
+    An edge row belongs to the last open node of its depth in an earlier unit; depth 0 is the root. The windows go over
+    one row per unit and depth.
     """
     earlier = Window.partitionBy("depth").orderBy("range").rangeBetween(Window.unboundedPreceding, -1)
     last_open = F.last(F.when(F.col("kind") == _OPEN, F.col("slot")), ignorenulls=True).over(earlier)
     owner = F.when(F.col("kind") < _EDGE, F.col("slot")).when(F.col("depth") == 0, F.lit(0)).otherwise(last_open)
     named = cut_lineage(rows.withColumn("slot", owner))
-    # A node that hangs on an earlier range's node has that as its parent; its range has an edge row for it.
+    # A node that hangs on an earlier unit's node has that as its parent; its unit has an edge row for it.
     above = named.where(f"kind = {_EDGE}").select("range", (F.col("depth") + 1).alias("depth"), F.col("slot").alias("_above"))
     first = F.col("kind") < _EDGE
     merged = named.groupBy("slot", "depth").agg(

@@ -340,7 +340,7 @@ def _split(spark, sf_dir):
     return numbered.select("segment_id", "doc_id", "url"), rows.select("segment_id", "token", "doc_id")
 
 
-def _written_segments(spark, sf_dir):
+def written_segments(spark, sf_dir):
     """The index as several written segments in one folder, opened together. They are written once per session."""
     key = (spark.sparkContext.applicationId, f"{sf_dir} in segments")
     if key not in _published:
@@ -354,13 +354,13 @@ def _written_segments(spark, sf_dir):
 
 
 def segment_search(spark, sf_dir):
-    written = _written_segments(spark, sf_dir)
+    written = written_segments(spark, sf_dir)
     found = segments.search_segments(_terms(spark, sf_dir), written)
     return found.select("term", F.col("segment_id").cast("bigint").alias("segment_id"), "url")
 
 
 def segment_merge(spark, sf_dir):
-    written = _written_segments(spark, sf_dir)
+    written = written_segments(spark, sf_dir)
     merged_docs, merged = segments.merge_segments(written["doc_table"], written["postings"])
     return merged.join(merged_docs, "doc_id").select("token", "doc_id", "url")
 

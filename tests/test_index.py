@@ -147,12 +147,14 @@ def test_trie_over_many_ranges(spark, monkeypatch, seed):
     words = _some_words(seed)
     monkeypatch.setattr(prefixes, "in_ranges", lambda df, *keys: in_ranges(df.repartitionByRange(13, *keys), *keys))
     spark.conf.set("spark.sql.shuffle.partitions", "23")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
         nodes, tokens = prefixes.trie_nodes(_dictionary(spark, words))
         rows, ranked = nodes.collect(), {r.slot: r.token for r in tokens.collect()}
         edges = prefixes.automaton(_dictionary(spark, words)).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     spelled = {ranked[r.slot][: r.depth]: r for r in rows}
     heads = {w[:i] for w in words for i in range(len(w) + 1)}
     assert len(rows) == len(spelled) and set(spelled) == heads and [ranked[i] for i in range(len(words))] == sorted(words)
