@@ -36,36 +36,34 @@ def _let(name: str, value: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def _log_factorial(n: str) -> str:
-    """Exact below 20, then Stirling's series, whose error is under 1e-12 there."""
-    x = f"double({n})"
-    series = f"({x} + 0.5D) * ln({x}) - {x} + 0.9189385332046727D + 1D / (12D * {x}) - 1D / (360D * pow({x}, 3)) + 1D / (1260D * pow({x}, 5))"
-    return f"if({n} < 20, ln(double(factorial(int(least({n}, 20))))), {series})"
-
-
 def hypergeometric(good: str, bad: str, draws: str, uniform: str) -> str:
     """SQL text of one draw: how many of ``draws`` items without replacement are among the ``good`` ones.
 
-    ``good``, ``bad`` and ``draws`` are BIGINT expressions, ``uniform`` a DOUBLE strictly between 0 and 1.
+    ``good``, ``bad`` and ``draws`` are BIGINT expressions, ``uniform`` a DOUBLE strictly between 0 and 1. The masses of the
+    window are taken relative to the mode's, as products of the ratios of neighbours, and divided by their own sum; no
+    large numbers are subtracted, so the law keeps its precision at any count.
     """
-    lf = _log_factorial
-    log_mass = (
-        f"{lf('v.a')} - {lf('q.lo')} - {lf('v.a - q.lo')} + {lf('v.b')} - {lf('v.n - q.lo')} - {lf('v.b - v.n + q.lo')}"
-        f" - {lf('v.a + v.b')} + {lf('v.n')} + {lf('v.a + v.b - v.n')}"
-    )
-    ratio = "double(v.a - i) * double(v.n - i) / (double(i + 1) * double(v.b - v.n + i + 1))"
+    def ratio(i: str) -> str:
+        """The mass of ``i`` + 1 over that of ``i``."""
+        return f"double(v.a - {i}) * double(v.n - {i}) / (double({i} + 1) * double(v.b - v.n + {i} + 1))"
+
+    def summed(steps: str, factor: str) -> str:
+        add = _let("m", f"z.p * {factor}", "named_struct('p', m, 's', z.s + m)")
+        return f"if({steps} > 0, aggregate(sequence(1L, {steps}), named_struct('p', 1D, 's', 0D), (z, i) -> {add}), named_struct('p', 1D, 's', 0D))"
+
+    below = summed("q.mode - q.lo", f"(1D / ({ratio('(q.mode - i)')}))")
+    above = summed("q.hi - q.mode", f"({ratio('(q.mode + i - 1)')})")
     walk = (
-        f"aggregate(sequence(q.lo, q.hi), named_struct('cum', 0D, 'p', exp({log_mass}), 'k', q.lo),"
-        f" (z, i) -> if(z.cum >= v.u, z, named_struct('cum', z.cum + z.p, 'p', z.p * {ratio}, 'k', i)), z -> z.k)"
-    )
-    window = (
-        "named_struct('lo', greatest(v.n - v.b, 0L, w.mode - w.reach), 'hi', least(v.n, v.a, w.mode + w.reach))"
+        f"aggregate(sequence(q.lo, q.hi), named_struct('cum', 0D, 'p', d.p / (1D + d.s + e.s), 'k', q.lo),"
+        f" (z, i) -> if(z.cum >= v.u, z, named_struct('cum', z.cum + z.p, 'p', z.p * {ratio('i')}, 'k', i)), z -> z.k)"
     )
+    bounds = "named_struct('lo', greatest(v.n - v.b, 0L, w.mode - w.reach), 'hi', least(v.n, v.a, w.mode + w.reach), 'mode', w.mode)"
+    clamped = "named_struct('lo', r.lo, 'hi', r.hi, 'mode', least(greatest(r.mode, r.lo), r.hi))"
     around = (
         "named_struct('mode', bigint(floor((v.n + 1D) * (v.a + 1D) / (v.a + v.b + 2D))), 'reach', 12L + bigint(ceil(9D * sqrt("
         "greatest(0D, double(v.n) * v.a / (v.a + v.b) * v.b / (v.a + v.b) * (v.a + v.b - v.n) / greatest(1D, v.a + v.b - 1D))))))"
     )
-    drawn = _let("w", around, _let("q", window, walk))
+    drawn = _let("w", around, _let("r", bounds, _let("q", clamped, _let("d", below, _let("e", above, walk)))))
     given = f"named_struct('a', bigint({good}), 'b', bigint({bad}), 'n', bigint({draws}), 'u', {uniform})"
     sure = "greatest(v.n - v.b, 0L) = least(v.n, v.a)"
     return _let("v", given, f"if({sure}, least(v.n, v.a), {drawn})")

@@ -2,6 +2,7 @@ import itertools
 import math
 import random
 from collections import Counter
+from statistics import NormalDist
 
 import pytest
 
@@ -38,6 +39,22 @@ def test_hypergeometric_inverts_its_distribution(spark, good, bad, draws):
     assert sum(got.values()) == n
 
 
+@pytest.mark.parametrize("good,bad,draws", [(10**11, 15 * 10**11, 10**10), (25 * 10**6, 15 * 25 * 10**6, 4 * 10**8 - 10**6), (1, 10**11, 10**10)])
+def test_hypergeometric_at_cluster_sizes(spark, good, bad, draws):
+    """Against the normal quantiles, far into both tails."""
+    total = good + bad
+    mean, variance = draws * good / total, draws * good / total * bad / total * (total - draws) / (total - 1)
+    shares = [1e-6, 0.001, 0.02, 0.3, 0.5, 0.7, 0.98, 0.999, 0.9999, 0.99995, 0.99999, 1 - 1e-6]
+    expr = sharding.hypergeometric(f"{good}L", f"{bad}L", f"{draws}L", "u")
+    got = {r["u"]: r["x"] for r in spark.createDataFrame([(u,) for u in shares], "u double").selectExpr("u", f"{expr} AS x").collect()}
+    if good == 1:
+        assert got == {u: int(u > 1 - draws / total) for u in shares}
+        return
+    for u in shares:
+        want = mean + NormalDist().inv_cdf(u) * variance**0.5
+        assert abs(got[u] - want) < max(2, 0.02 * variance**0.5)
+
+
 def test_each_row_reaches_each_shard_about_equally(spark):
     hits = Counter()
     for seed in range(12):
