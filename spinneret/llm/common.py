@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spinneret.session import cut_lineage
@@ -12,6 +12,8 @@ from spinneret.session import cut_lineage
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 ROW = "_row"
+# Bits of a row's place in its file; the file's number stands above them.
+_INDEX_BITS = 40
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -26,11 +28,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_row(scan: DataFrame) -> DataFrame:
-    """Number the rows of a table scan. The splits of unchanged files are the same in each job, so the numbers are too.
+    """Number the rows of a table scan by their file and their place in it.
 
-    This holds for scans only: the partitions behind a shuffle may differ from job to job.
+    The number does not depend on how the files are cut into splits, which may differ from job to job, as when executors
+    come or go. It holds for scans of files only. Files are numbered in the order of their names: one row each, broadcast.
     """
-    return scan.withColumn(ROW, F.monotonically_increasing_id())
+    place = scan.metadataColumn("_metadata")
+    told = scan.select("*", place.getField("file_path").alias("_file"), place.getField("row_index").alias("_index"))
+    order = F.row_number().over(Window.orderBy("_file")) - 1
+    files = told.select("_file").distinct().select("_file", order.cast("bigint").alias("_number"))
+    numbered = told.join(F.broadcast(files), "_file")
+    number = F.shiftleft("_number", _INDEX_BITS).bitwiseOR(F.col("_index"))
+    return numbered.select(*scan.columns, number.alias(ROW))
 
 
 def packed(scan: DataFrame) -> DataFrame:

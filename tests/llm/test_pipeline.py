@@ -6,6 +6,7 @@ from check_oracle import compare, connect
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from spinneret.llm import catalog, decontamination, mixing, near_dups, toxicity
+from spinneret.llm.common import packed, with_row
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -63,3 +64,23 @@ def test_query_equals_sql(spark, name):
 def test_all_are_registered():
     found = queries()
     assert all(sum(name.startswith(f"op{n}_") for name in found) == 1 for n in range(1, 11)) and "pipeline" in found
+
+
+def test_row_numbers_do_not_depend_on_splits(spark, tmp_path):
+    """Not on the cores, nor on the size of a split."""
+    path = str(tmp_path / "t.parquet")
+    spark.range(0, 40_000, 1, 5).selectExpr("id AS doc_id", "repeat('word ', 20) AS text").write.option("parquet.block.size", "65536").parquet(path)
+    found = []
+    for cores, size in ((2, "128m"), (16, "20k")):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", str(cores))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            docs = spark.read.parquet(path)
+            rows = with_row(docs.select("doc_id", "text"))
+            packed_rows = {r["_row"]: r["id"] for r in packed(docs).selectExpr("_row", "doc.doc_id AS id").collect()}
+            found.append((docs.rdd.getNumPartitions(), {r["_row"]: r["doc_id"] for r in rows.select("_row", "doc_id").collect()}, packed_rows))
+        finally:
+            spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0][0] != found[1][0] and len(found[0][1]) == 40_000
+    assert found[0][1] == found[1][1] == found[0][2] == found[1][2]
