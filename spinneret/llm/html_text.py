@@ -1,8 +1,11 @@
 """Operator 6: the main text of web pages by two-pass block rules.
 
 A page is cut into blocks at its block-level tags. The first pass decides blocks by themselves: by length, by the share
-of the text inside links and by the share of stop words; blocks in navigation, footers, asides, forms and in containers
-named as notices, adverts or comments are boilerplate. What is too short or too plain to decide is ambiguous. In the
+of the text inside links and by the share of stop words; blocks in navigation, footers, asides and in containers named as
+notices, adverts or comments are boilerplate. A name counts as a whole: ``sidebar``, ``sidebar-left`` and ``site-footer``
+are names of such containers, ``with-sidebar``, ``no-comments`` and ``ad-free`` are not, and ``article``, ``main`` and
+``body`` are never barred by theirs. A form is barred unless it holds nearly all of the
+page's good text. What is too short or too plain to decide is ambiguous. In the
 second pass an ambiguous block takes the label of its nearest decided neighbour: first among the blocks of its own
 container, then of the containers around it, then of the page.
 """
@@ -20,8 +23,7 @@ from pyspark.sql import functions as F
 
 LONG = 90
 LINKED = 0.3
-STOP_SHARE = 0.08
-#: Containers inside more others than this are taken as a part of the one around them.
+STOP_SHARE = 0.08#: Containers inside more others than this are taken as a part of the one around them.
 DEEPEST = 64
 
 # Function words of four languages, and names of elements.
@@ -40,7 +42,7 @@ BLOCK_TAGS = frozenset(
     "td tfoot th thead title tr ul".split()
 )
 CONTAINERS = frozenset("article aside body div footer form header main nav section table td ul ol dl figure details dialog blockquote".split())
-BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog".split())
+BOILERPLATE_TAGS = frozenset("nav footer aside menu dialog".split())
 #: Elements whose content is no text of the page.
 RAW_TAGS = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "select", "button", "title", "head", "object", "canvas")
 BOILERPLATE_NAMES = frozenset(
@@ -48,6 +50,9 @@ BOILERPLATE_NAMES = frozenset(
     "disqus footer hidden login menu modal nav navbar navigation newsletter notice pager pagination popup promo related "
     "reply share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Parts of a name that say that a container goes with such a thing, or without it.
+QUALIFIERS = frozenset("with without has have no not non is hide hides show shows free less off enabled disabled".split())
+NEVER_BARRED = frozenset("article main body".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 ENDS_PARAGRAPH = BLOCK_TAGS - {"body", "html"}
 
@@ -62,7 +67,7 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]++|<)",
     re.I | re.S,
 )
-_NAMES = re.compile(r"""(?:class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++))""", re.I)
+_NAMES = re.compile(r"""(?<![\w-])(?:class|id|role)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _WORDS = re.compile(r"\w+")
 
@@ -73,21 +78,24 @@ class Block:
     Containers are numbered; an article's or main element's number is negative.
     """
 
-    __slots__ = ("text", "linked", "path", "barred", "heading", "label")
+    __slots__ = ("text", "linked", "path", "barred", "form", "heading", "label")
 
-    def __init__(self, text: str, linked: int, path: tuple[int, ...], barred: bool, heading: bool) -> None:
-        self.text, self.linked, self.path, self.barred, self.heading = text, linked, path, barred, heading
+    def __init__(self, text: str, linked: int, path: tuple[int, ...], barred: bool, form: int, heading: bool) -> None:
+        self.text, self.linked, self.path, self.barred, self.form, self.heading = text, linked, path, barred, form, heading
         self.label: bool | None = None
 
 
 def _named_as_boilerplate(attrs: str) -> bool:
     if _HIDDEN.search(attrs):
         return True
-    for m in _NAMES.finditer(attrs):
-        names = (m[1] or m[2] or m[3] or "").lower()
-        if not BOILERPLATE_NAMES.isdisjoint(re.split(r"[^a-z]+", names)):
-            return True
-    return False
+    names = (name for m in _NAMES.finditer(attrs) for name in (m[1] or m[2] or m[3] or "").split())
+    return any(_is_boilerplate(name) for name in names)
+
+
+def _is_boilerplate(name: str) -> bool:
+    """A listed word, or a name that begins or ends with one and does not qualify it."""
+    parts = [p for p in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if p]
+    return bool(parts) and QUALIFIERS.isdisjoint(parts) and (parts[0] in BOILERPLATE_NAMES or parts[-1] in BOILERPLATE_NAMES)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -95,7 +103,8 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked_parts: list[str] = []
-    stack: list[tuple[str, tuple[int, ...], bool]] = []  # open containers: tag, path, whether it or one around it is boilerplate
+    # Open containers: tag, path, whether it or one around it is boilerplate, number of the outermost form around it or 0.
+    stack: list[tuple[str, tuple[int, ...], bool, int]] = []
     opened: Counter[str] = Counter()
     number, links, heading = 0, 0, False
 
@@ -105,7 +114,8 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
                 linked = len(" ".join(entities.unescape("".join(linked_parts)).split()))
-                out.append(Block(text, linked, stack[-1][1] if stack else (), bool(stack) and stack[-1][2], heading))
+                _, path, bad, form = stack[-1] if stack else ("", (), False, 0)
+                out.append(Block(text, linked, path, bad, form, heading))
         parts, linked_parts = [], []
 
     for m in _TOKEN.finditer(page):
@@ -139,23 +149,35 @@ def blocks_of(page: str) -> list[Block]:
                     if last == tag:
                         break
             continue
-        path, bad = (stack[-1][1], stack[-1][2]) if stack else ((), False)
+        _, path, bad, form = stack[-1] if stack else ("", (), False, 0)
         in_article = bool(opened["article"] or opened["main"])
         bad = bad or tag in BOILERPLATE_TAGS or (tag == "header" and not in_article)
         attrs = m["attrs"] or m["attrs2"]
-        bad = bad or (tag != "body" and bool(attrs) and _named_as_boilerplate(attrs))
+        bad = bad or (tag not in NEVER_BARRED and bool(attrs) and _named_as_boilerplate(attrs))
         number += 1
+        form = form or (number if tag == "form" else 0)
         if len(path) < DEEPEST:
             path += (-number if tag in ("article", "main") else number,)
-        stack.append((tag, path, bad))
+        stack.append((tag, path, bad, form))
         opened[tag] += 1
     flush()
     return out
 
 
+def _bar_forms(blocks: list[Block]) -> None:
+    """Bar the blocks of forms, but not of one that holds nearly all good text, as where a page is one form."""
+    good = Counter()
+    for block in blocks:
+        if _decide(block):
+            good[block.form] += len(block.text)
+    for block in blocks:
+        if block.form and good[block.form] <= NEARLY_ALL * good.total():
+            block.barred = True
+
+
 def _decide(block: Block) -> bool | None:
     """The first pass: main text, boilerplate, or None if ambiguous."""
-    if block.barred or block.linked > LINKED * len(block.text) or block.text.startswith("©"):
+    if block.barred or block.linked > LINKED * len(block.text):
         return False
     if block.heading or len(block.text) < LONG:
         return None
@@ -208,6 +230,8 @@ def _inherit(blocks: list[Block], decided: list[bool | None]) -> None:
 def main_text(page: str | None) -> str:
     """The main text's blocks, one a line; empty for an empty page."""
     blocks = blocks_of(page or "")
+    if any(b.form for b in blocks):
+        _bar_forms(blocks)
     decided = [_decide(b) for b in blocks]
     for block, label in zip(blocks, decided):
         block.label = label

@@ -182,6 +182,36 @@ def test_main_text_of_odd_pages(page, want):
     assert html_text.main_text(page) == want
 
 
+ARTICLE = "This is the text of the article, and it is long enough to be the main text of a page with all the words in it. " * 2
+ASIDE = "These are some of the other things that you can do on this site, and they are of no use to who reads the article. " * 2
+KEPT = [
+    '<div class="content-area with-sidebar">%s</div>', '<main class="no-comments">%s</main>', '<article class="post ad-free">%s</article>',
+    '<div data-id="related">%s</div>', '<div data-class="sidebar ad">%s</div>', '<div class="has-sidebar left">%s</div>',
+    '<div class="hasSidebar">%s</div>', '<div id="page" class="without-comments">%s</div>', '<div class="comments-off">%s</div>',
+    '<div class="is-not-widget">%s</div>', '<body class="sidebar login">%s', '<article id="comment-policy">%s</article>',
+    '<div class="headline">%s</div>', '<div class="advanced">%s</div>', '<div class="download">%s</div>', '<div class="threads">%s</div>',
+    '<form id="aspnetForm"><p>%s</p><input name="q"></form>', '<form><div class="layout"><section>%s</section></div></form>',
+    '<main><article class="sidebar-layout"><p>%s</p></article></main>', '<table class="layout"><tr><td>%s</td></tr></table>',
+]
+DROPPED = [
+    '<div class="sidebar">%s</div>', '<div class="sidebar-left">%s</div>', '<div class="site-footer">%s</div>', '<div class="cookieNotice">%s</div>',
+    '<section id="comments">%s</section>', '<div class="post-comments">%s</div>', '<div class="ad">%s</div>', '<div role="navigation">%s</div>',
+    '<aside>%s</aside>', '<form action="/join"><p>%s</p><input></form>', '<div class="col-3 widget">%s</div>', '<div hidden>%s</div>',
+]
+
+
+@pytest.mark.parametrize("theme", KEPT)
+def test_html_keeps_the_article_whatever_its_containers_are_called(theme):
+    page = f'<html><div class="nav"><a href="/">Home</a></div>{theme % ARTICLE}<footer>{ASIDE}</footer>'
+    assert html_text.main_text(page) == ARTICLE.strip()
+
+
+@pytest.mark.parametrize("theme", DROPPED)
+def test_html_drops_what_stands_beside_it(theme):
+    assert html_text.main_text(f'<html><div class="post"><p>{ARTICLE}</p></div>{theme % ASIDE}') == ARTICLE.strip()
+    assert html_text.main_text(f"<html>{theme % ASIDE}<main><p>{ARTICLE}</p><p>\u00a9 stands for copyright.</p></main>") == f"{ARTICLE.strip()}\n\u00a9 stands for copyright."
+
+
 def test_html_table(spark):
     pages = spark.createDataFrame([(1, "u", PAGE % (LONG_TEXT, "x"), 5), (2, None, None, 6), (2, None, None, 6)], "page_id bigint, url string, html string, text int")
     got = html_text.extract_text(pages).collect()
