@@ -4,10 +4,9 @@ A page is cut into blocks at its block-level tags. The first pass decides blocks
 of the text inside links and by the share of stop words; blocks in navigation, footers, asides and in containers named as
 notices, adverts or comments are boilerplate. A name counts as a whole: ``sidebar``, ``sidebar-left`` and ``site-footer``
 are names of such containers, ``with-sidebar``, ``no-comments`` and ``ad-free`` are not, and ``article``, ``main`` and
-``body`` are never barred by theirs. A form is barred unless it holds nearly all of the
-page's good text. What is too short or too plain to decide is ambiguous. In the
-second pass an ambiguous block takes the label of its nearest decided neighbour: first among the blocks of its own
-container, then of the containers around it, then of the page.
+``body`` are never barred by theirs. A form is barred unless it holds nearly all of the page's good text. What is too
+short or too plain to decide is ambiguous. In the second pass an ambiguous block takes the label of its nearest decided
+neighbour: first among the blocks of its own container, then of the containers around it, then of the page.
 """
 
 from __future__ import annotations
@@ -23,7 +22,10 @@ from pyspark.sql import functions as F
 
 LONG = 90
 LINKED = 0.3
-STOP_SHARE = 0.08#: Containers inside more others than this are taken as a part of the one around them.
+STOP_SHARE = 0.08
+#: Share of a page's good text in a form, over which the form is the page.
+NEARLY_ALL = 0.8
+#: Containers inside more others than this are taken as a part of the one around them.
 DEEPEST = 64
 
 # Function words of four languages, and names of elements.
