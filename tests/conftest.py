@@ -39,7 +39,7 @@ def site(spark):
 
 @pytest.fixture(scope="session")
 def site_index():
-    """All 32 postings of the three pages: token -> page numbers."""
+    """All 32 postings of the three pages: token -> page numbers. Fixed values, as the pages' words give them."""
     index = {t: {1, 2, 3} for t in "page test to".split()}
     index |= {"go": {1, 2}, "this": {1, 3}}
     index |= {t: {1} for t in "crawler for is the welcom".split()}
