@@ -121,3 +121,9 @@ def running_sum(ranged: DataFrame, value: str, out: str) -> DataFrame:
 def offsets(df: DataFrame, *keys: str, size: str, out: str) -> DataFrame:
     """Start offset of each row when rows of ``size`` bytes are laid out in key order."""
     return scan_sum(in_ranges(df, *keys), size, out).drop(RANGE, POSITION)
+
+
+def ranked_tokens(token_dict: DataFrame) -> DataFrame:
+    """``(token, offset, slot)`` of a dictionary in its ranges, for whatever is made of tokens in order."""
+    tokens = token_dict.where(F.col("token") != "").select("token", F.col("offset").cast("bigint").alias("offset"))
+    return rank_rows(in_ranges(tokens, "token"), "slot")

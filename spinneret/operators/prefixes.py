@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spinneret.operators.ordering import RANGE, in_ranges, rank_rows
+from spinneret.operators.ordering import RANGE, ranked_tokens
 from spinneret.session import cut_lineage
 
 # --- Fixed values of the layout -------------------------------------------------------------------------------------
@@ -121,7 +121,7 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     before, unit = None, 0
     for batch in batches:
         tokens = batch.column("token").to_pylist()
-        slots, offsets = (batch.column(c).to_numpy() for c in ("_slot", "offset"))
+        slots, offsets = (batch.column(c).to_numpy() for c in ("slot", "offset"))
         cuts = np.cumsum([len(t) for t in tokens]) // _UNIT_LETTERS
         edges = [0, *(np.flatnonzero(cuts[1:] != cuts[:-1]) + 1).tolist(), len(tokens)] if tokens else []
         for start, end in zip(edges, edges[1:]):
@@ -132,18 +132,18 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             before, unit = tokens[end - 1], unit + 1
 
 
-def trie_nodes(token_dict: DataFrame) -> tuple[DataFrame, DataFrame]:
+def trie_nodes(token_dict: DataFrame, ranked: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``(slot, depth, val, is_terminal, offset, parent, n_children, h1, h2)`` and ``(slot, token)`` of ``(token, offset)``.
 
     A node is the first ``depth`` characters of the token number ``slot``, the first in order that has them. Its parent is
-    the node of ``parent`` one character shorter. Without tokens the root is terminal; empty tokens are left out.
+    the node of ``parent`` one character shorter. Without tokens the root is terminal; empty tokens are left out. ``ranked``
+    are the :func:`spinneret.operators.ordering.ranked_tokens` of the dictionary, if they are at hand.
     """
-    tokens = token_dict.where(F.col("token") != "").select("token", F.col("offset").cast("bigint").alias("offset"))
-    ranked = rank_rows(in_ranges(tokens, "token"), "_slot")
+    ranked = ranked_tokens(token_dict) if ranked is None else ranked
     last = ranked.groupBy(RANGE).agg(F.max("token").alias("_last"))
     before = last.select(RANGE, F.lag("_last").over(Window.orderBy(RANGE)).alias("_before_token"))
     # One row per range; the broadcast leaves each range where it is, in order.
-    told = ranked.join(F.broadcast(before), RANGE).select(RANGE, "_slot", "token", "offset", "_before_token")
+    told = ranked.join(F.broadcast(before), RANGE).select(RANGE, "slot", "token", "offset", "_before_token")
     walked = cut_lineage(told.mapInArrow(_walk, _WALKED))
     nodes = walked.where(f"kind = {_COMPLETE}").select(*_NODE)
     shared = _joined_edges(walked.where(f"kind <> {_COMPLETE}"))
@@ -151,7 +151,7 @@ def trie_nodes(token_dict: DataFrame) -> tuple[DataFrame, DataFrame]:
     bare_root = spark.createDataFrame([(0, 0, ROOT, True, NO_OFFSET, -1, 0, 0, 0)], nodes.schema)
     bare_root = bare_root.join(ranked.limit(1).select(F.lit(0).cast("bigint").alias("slot")), "slot", "left_anti")
     whole = nodes.unionByName(shared).unionByName(bare_root.select(*_NODE))
-    return whole, ranked.select(F.col("_slot").alias("slot"), "token")
+    return whole, ranked.select("slot", "token")
 
 
 def _joined_edges(rows: DataFrame) -> DataFrame:

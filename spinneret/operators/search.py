@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spinneret.functions.markup import tokens_of
 from spinneret.functions.stemming import with_stem
 from spinneret.operators.blocks import BROADCAST_TERMS, find_blocks, rows_of
-from spinneret.operators.ordering import POSITION, RANGE, dense_rank, in_ranges, scan_max
+from spinneret.operators.ordering import POSITION, RANGE, in_ranges, ranked_tokens, scan_max
 from spinneret.session import cut_lineage, has_at_most
 
 
@@ -71,9 +71,12 @@ def in_range(token_dict: DataFrame, low: str, high: str) -> DataFrame:
     return token_dict.where(F.col("token").between(low, high))
 
 
-def sampled_index(token_dict: DataFrame, every: int) -> DataFrame:
-    """``(block, token, offset, n_tokens)``: each ``every``-th dictionary entry, first of its block."""
-    ranked = dense_rank(token_dict.select("token", "offset"), "token", out="slot")
+def sampled_index(token_dict: DataFrame, every: int, ranked: DataFrame | None = None) -> DataFrame:
+    """``(block, token, offset, n_tokens)``: each ``every``-th dictionary entry, first of its block.
+
+    ``ranked`` are the :func:`spinneret.operators.ordering.ranked_tokens` of the dictionary, if they are at hand.
+    """
+    ranked = ranked_tokens(token_dict) if ranked is None else ranked
     blocks = ranked.groupBy(F.floor(F.col("slot") / every).cast("bigint").alias("block"))
     first = F.min(F.struct("token", "offset"))
     return blocks.agg(first.alias("first"), F.count(F.lit(1)).alias("n_tokens")).select(

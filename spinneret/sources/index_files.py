@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spinneret.operators import layout as layouts
 from spinneret.operators.blocks import BLOCK_ROWS, block_edges, number_of_blocks, write_blocks
+from spinneret.operators.ordering import ranked_tokens
 from spinneret.operators.postings import posting_blocks
 from spinneret.operators.prefixes import trie_nodes
 from spinneret.operators.search import sampled_index
@@ -101,10 +102,11 @@ def write_segment(
     spark = postings.sparkSession
     for name, edges in EDGES.items():
         block_edges(spark.read.schema(SCHEMAS[name]).parquet(at(name))).coalesce(1).write.parquet(at(edges))
-    _write_sorted(sampled_index(token_dict, SAMPLE_EVERY), at("token_samples"), "block")
+    ranked = ranked_tokens(token_dict)
+    _write_sorted(sampled_index(token_dict, SAMPLE_EVERY, ranked), at("token_samples"), "block")
     _write_sorted(layouts.fixed_dictionary(token_dict), at("token_dict_fixed"), "slot")
     _write_sorted(layouts.too_long_tokens(token_dict), at("token_dict_rejects"), "token")
-    _write_sorted(trie_nodes(token_dict)[0].select(*TRIE), at("token_dict_trie"), "slot", "depth")
+    _write_sorted(trie_nodes(token_dict, ranked)[0].select(*TRIE), at("token_dict_trie"), "slot", "depth")
     _write_sorted(doc_table.select("doc_id", "url"), at("doc_table"), "doc_id")
     meta = segment_meta(token_dict, doc_table, segment_id)
     stamped = meta.withColumn("created_at", F.lit(f"{created_at:%Y-%m-%dT%H:%M:%SZ}"))

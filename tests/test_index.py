@@ -142,10 +142,9 @@ def _some_words(seed):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_trie_over_many_ranges(spark, monkeypatch, seed):
+def test_trie_over_many_ranges(spark, seed):
     """Ranges of a few tokens, whose first nodes hang on paths from several ranges before."""
     words = _some_words(seed)
-    monkeypatch.setattr(prefixes, "in_ranges", lambda df, *keys: in_ranges(df.repartitionByRange(13, *keys), *keys))
     spark.conf.set("spark.sql.shuffle.partitions", "23")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
