@@ -26,59 +26,107 @@ K = 8
 SKETCHES = 64
 KEPT = 2
 #: k-mers that are hashed under all functions at once.
-_BLOCK = 1 << 13
+_BLOCK = 1 << 12
+_ROWS = np.arange(SKETCHES)
+_PARAMETERS = tuple(p[:, None] for p in minhash_parameters(SKETCHES, seed=10))
+_SHIFT, _SPREAD = np.uint32(15), np.uint32(0x85EBCA6B)
 
 
 def _numbered(points: np.ndarray) -> np.ndarray:
     """A 32-bit hash for each k-mer and its occurrence number, in text order; a short text is one k-mer."""
-    k = min(K, len(points))
-    kmers = np.zeros(len(points) - k + 1, np.uint64)
-    for i in range(k):
-        kmers = kmers * np.uint64(0x9E3779B97F4A7C15) + points[i : i + len(kmers)] + np.uint64(1)
+    k, base = min(K, len(points)), 0x9E3779B97F4A7C15
+    # Runs are doubled as long as they fit, then grow by single code points.
+    ones = points.astype(np.uint64) + np.uint64(1)
+    kmers, size = ones, 1
+    while 2 * size <= k:
+        kmers = kmers[:-size] * np.uint64(pow(base, size, 1 << 64)) + kmers[size:]
+        size *= 2
+    for i in range(size, k):
+        kmers = kmers[:-1] * np.uint64(base) + ones[i:]
     kmers = mix(kmers)
-    order = np.argsort(kmers, kind="stable")
+    order = np.argsort(kmers)
     ordered = kmers[order]
-    fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-    starts = np.flatnonzero(fresh)
-    if len(starts) < len(kmers):
-        place = np.arange(len(kmers)) - np.repeat(starts, np.diff(np.append(starts, len(kmers))))
-        again = place > 0
-        kmers[order[again]] = mix(ordered[again] + place[again].astype(np.uint64))
+    same = ordered[1:] == ordered[:-1]
+    if same.any():
+        # Only k-mers that occur again are put in the order of their places.
+        runs = np.append(0, np.cumsum(~same))
+        repeated = np.append(same, False) | np.append(False, same)
+        runs, places = np.divmod(np.sort(runs[repeated] * len(kmers) + order[repeated]), len(kmers))
+        starts = np.flatnonzero(np.append(True, runs[1:] != runs[:-1]))
+        turn = np.arange(len(runs)) - np.repeat(starts, np.diff(np.append(starts, len(runs))))
+        places, turn = places[turn > 0], turn[turn > 0]
+        kmers[places] = mix(kmers[places] + turn.astype(np.uint64))
     return (kmers >> np.uint64(32)).astype(np.uint32)
 
 
-def fingerprint(text: str | None) -> np.ndarray:
-    """``SKETCHES`` 32-bit values; an empty text, and a null one, has all zeros."""
-    if not text:
-        return np.zeros(SKETCHES, np.uint32)
-    numbered = _numbered(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32))
-    factors, masks = minhash_parameters(SKETCHES, seed=10)
-    rows = np.arange(SKETCHES)
-    best = np.full((SKETCHES, KEPT), 0xFFFFFFFF, np.uint32)
-    where = np.full((SKETCHES, KEPT), -1, np.int64)
-    for at in range(0, len(numbered), _BLOCK):
-        hashed = (numbered[at : at + _BLOCK] ^ masks[:, None]) * factors[:, None]
-        hashed ^= hashed >> np.uint32(15)
-        hashed *= np.uint32(0x85EBCA6B)
-        values, places = best, where
-        for _ in range(min(KEPT, hashed.shape[1])):
+def _kmers_of(text: str) -> np.ndarray:
+    return _numbered(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32))
+
+
+def _least(numbered: np.ndarray, start: int, end: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The ``KEPT`` least hashes of each block of the k-mers ``start`` to ``end`` under each function, and their places."""
+    factors, masks = _PARAMETERS
+    buffers = np.empty((2, SKETCHES, min(_BLOCK, max(0, end - start))), np.uint32)
+    found = []
+    for at in range(start, end, _BLOCK):
+        part = numbered[at : min(at + _BLOCK, end)]
+        hashed, shifted = buffers[:, :, : len(part)]
+        np.bitwise_xor(part, masks, out=hashed)
+        np.multiply(hashed, factors, out=hashed)
+        np.right_shift(hashed, _SHIFT, out=shifted)
+        np.bitwise_xor(hashed, shifted, out=hashed)
+        np.multiply(hashed, _SPREAD, out=hashed)
+        for _ in range(min(KEPT, len(part))):
             least = hashed.argmin(axis=1)
-            values = np.concatenate([values, hashed[rows, least][:, None]], axis=1)
-            places = np.concatenate([places, (least + at)[:, None]], axis=1)
-            hashed[rows, least] = 0xFFFFFFFF
-        pick = np.argsort(values, axis=1, kind="stable")[:, :KEPT]
-        # A place of -1 is no k-mer yet, and gives way to any.
-        if (where < 0).any():
-            pick = np.lexsort((values, places < 0), axis=1)[:, :KEPT]
-        best, where = np.take_along_axis(values, pick, 1), np.take_along_axis(places, pick, 1)
-    where = np.sort(where, axis=1)
+            found.append((hashed[_ROWS, least], least + at))
+            hashed[_ROWS, least] = 0xFFFFFFFF
+    return found
+
+
+def _in_order(numbered: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The values of a fingerprint: the least k-mers of each function, in the order of the text, hashed as a tuple.
+
+    Of equal hashes the one found first counts; a text of fewer k-mers has zeros for the others.
+    """
+    where = np.stack([places for _, places in found], axis=1)
+    if len(found) > KEPT:
+        pick = np.argsort(np.stack([values for values, _ in found], axis=1), axis=1, kind="stable")[:, :KEPT]
+        where = where[_ROWS[:, None], pick]
+    where.sort(axis=1)
     out = np.zeros(SKETCHES, np.uint64)
-    for i in range(KEPT):
-        chosen = np.where(where[:, i] < 0, np.uint64(0), numbered[where[:, i]].astype(np.uint64) + np.uint64(1))
-        out = mix(out + chosen)
+    for _ in range(KEPT - where.shape[1]):
+        out = mix(out)
+    for i in range(where.shape[1]):
+        out = mix(out + (numbered[where[:, i]].astype(np.uint64) + np.uint64(1)))
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
+def fingerprint(text: str | None) -> np.ndarray:
+    """``SKETCHES`` 32-bit values; an empty text, and a null one, has all zeros."""
+    return _with_beginning(text or "", 0)[0]
+
+
+def _with_beginning(text: str, n_points: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """The fingerprint, and what is least in the first ``n_points`` code points, which texts of that beginning share.
+
+    An occurrence number counts from the start of the text, so k-mers inside the beginning are the same in all of them.
+    """
+    if not text:
+        return np.zeros(SKETCHES, np.uint32), []
+    numbered = _kmers_of(text)
+    shared = max(0, n_points - K + 1)
+    begun = _least(numbered, 0, shared)
+    return _in_order(numbered, begun + _least(numbered, shared, len(numbered))), begun
+
+
+def _continued(text: str, n_points: int, begun: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The fingerprint of a text whose first ``n_points`` code points :func:`_with_beginning` has read in another one."""
+    if not begun:
+        return fingerprint(text)
+    numbered = _kmers_of(text)
+    return _in_order(numbered, begun + _least(numbered, n_points - K + 1, len(numbered)))
+
+
 def likeness(one: np.ndarray, other: np.ndarray) -> float:
     """The share of equal values, 0 to 1."""
     return float((one == other).mean())
@@ -101,8 +149,12 @@ def with_fingerprint(docs: DataFrame, out: str = "fingerprint") -> DataFrame:
 
 def edited(text: str, following: str) -> str:
     """The last floor(n/2) code points give way to the first as many of the following text, or all it has."""
-    half = len(text) // 2
-    return text[: len(text) - half] + following[:half]
+    return text[: _unedited(text)] + following[: len(text) // 2]
+
+
+def _unedited(text: str) -> int:
+    """The code points that an edited text begins with."""
+    return len(text) - len(text) // 2
 
 
 def _ranges(docs: DataFrame) -> DataFrame:
@@ -141,17 +193,17 @@ def edit_digest(docs: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for doc_id, text, end in zip(batch["doc_id"], batch["text"], batch["_end"]):
-                own = None if end else fingerprint(text)
+                own, begun = (None, None) if end else _with_beginning(text, _unedited(text))
                 if held is not None:
-                    before, before_text, before_own = held
+                    before, before_text, before_own, before_begun = held
                     following = fingerprint(text) if own is None else own
                     changed = edited(before_text, text)
-                    changed_print = fingerprint(changed)
+                    changed_print = _continued(changed, _unedited(before_text), before_begun)
                     out.append((
                         before, len(before_text), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), as_text(before_own),
                         as_text(changed_print), likeness(before_own, changed_print), likeness(before_own, following),
                     ))
-                held = None if end else (doc_id, text, own)
+                held = None if end else (doc_id, text, own, begun)
             yield pd.DataFrame(out, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
     schema = "doc_id string, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

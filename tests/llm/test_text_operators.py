@@ -343,6 +343,18 @@ def test_fingerprint_equals_brute_force(n):
     assert fingerprints.fingerprint(text).tolist() == brute_print(text)
 
 
+@pytest.mark.parametrize("text", ["", "abc", "abcdefghij", "abcdefghijklmnopq" * 3, "the cat " * 900, "x" * 9000 + "y"])
+def test_edited_texts_hash_only_what_changed(text, monkeypatch):
+    hashed, least = [], fingerprints._least
+    monkeypatch.setattr(fingerprints, "_least", lambda n, start, end: hashed.append(max(0, end - start)) or least(n, start, end))
+    same = fingerprints._unedited(text)
+    own, begun = fingerprints._with_beginning(text, same)
+    changed = fingerprints.edited(text, "dog and " * 2000)
+    again = fingerprints._continued(changed, same, begun)
+    assert sum(hashed) <= 1.5 * len(text) + 2 * fingerprints.K
+    assert own.tolist() == brute_print(text) and again.tolist() == brute_print(changed)
+
+
 def test_order_of_kmers_matters():
     rng = random.Random(1)
     a, b = ("".join(rng.choice("abcdefghij") for _ in range(600)) for _ in range(2))
