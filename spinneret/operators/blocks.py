@@ -16,6 +16,8 @@ from spinneret.session import cut_lineage, has_at_most
 
 #: Rows that a block is meant for, and most blocks of a table; beyond them blocks grow.
 BLOCK_ROWS, MOST_BLOCKS = 1_000_000, 100_000
+#: Blocks of fewer than ``BLOCK_ROWS`` rows that a table may have; each costs a task, files, and samples on the driver.
+SMALL_BLOCKS = 64
 #: Characters of a token that blocks are told apart by; equal heads only add blocks to a look-up.
 HEAD = 64
 # Most terms that are broadcast against the dictionary or the postings.
@@ -25,7 +27,11 @@ _SEGMENT_BITS = 32
 
 
 def number_of_blocks(n_rows: int, block_rows: int) -> int:
-    return max(1, min(MOST_BLOCKS, -(-n_rows // block_rows)))
+    """Blocks of ``block_rows`` rows. Smaller ones than ``BLOCK_ROWS`` grow up to it once there are ``SMALL_BLOCKS`` of them."""
+    n_blocks = -(-n_rows // block_rows)
+    if block_rows < BLOCK_ROWS:
+        n_blocks = min(n_blocks, max(SMALL_BLOCKS, -(-n_rows // BLOCK_ROWS)))
+    return max(1, min(MOST_BLOCKS, n_blocks))
 
 
 def write_blocks(df: DataFrame, path: str, *keys: str, n_blocks: int, **options: str) -> None:

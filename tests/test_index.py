@@ -365,3 +365,11 @@ def test_seed_list(spark):
     for blank in (None, "", "  "):
         with pytest.raises(ValueError):
             seed_urls(spark, blank)
+
+
+def test_small_blocks_grow_with_the_table():
+    assert [blocks.number_of_blocks(n, 1 << 15) for n in (0, 1, 1 << 15, (1 << 15) + 1, 1 << 20)] == [1, 1, 1, 2, 32]
+    # Each block is a task, a folder and some samples on the driver: a large table has none of few rows.
+    assert blocks.number_of_blocks(10**7, 1 << 15) == blocks.SMALL_BLOCKS
+    assert blocks.number_of_blocks(10**9, 1 << 15) == blocks.number_of_blocks(10**9, blocks.BLOCK_ROWS) == 1000
+    assert blocks.number_of_blocks(10**7, 4 * blocks.BLOCK_ROWS) == 3
