@@ -14,6 +14,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 ROW = "_row"
 # Bits of a row's place in its file; the file's number stands above them.
 _INDEX_BITS = 40
+#: Links that a task of a contraction is meant for.
+TASK_LINKS = 50_000
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -54,24 +56,30 @@ def components(links: DataFrame) -> DataFrame:
     until nothing changes; the rounds grow with the logarithm of the longest path. A hub's least neighbour is found by
     a map-side combined minimum, and its links stay rows of a join, so no neighbour list is ever one value. Each round
     is checkpointed. Ids without a link are not in the result.
+
+    A round writes a few files for each of its tasks, so it has no more tasks than its links need, whatever the number of
+    shuffle partitions.
     """
     edges = cut_lineage(_least_first(links.select(F.col("a").cast("bigint"), F.col("b").cast("bigint"))))
-    before = None
+    now, before = (edges.count(),), None
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        # Each half of a round makes at most twice the links it was given.
+        n_tasks = max(1, -(-now[0] // TASK_LINKS))
+        edges = edges.coalesce(n_tasks)
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(n_tasks)
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         larger = both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b")
-        edges = cut_lineage(_least_first(larger))
+        edges = cut_lineage(_least_first(larger.coalesce(n_tasks)).coalesce(n_tasks))
         # What is left are links from a smaller id a to a larger one b: hang all smaller neighbours of b on the least.
         least = edges.groupBy("b").agg(F.min("a").alias("m"))
         smaller = edges.join(least, "b").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b"))
-        edges = cut_lineage(_least_first(smaller))
+        edges = cut_lineage(_least_first(smaller.coalesce(n_tasks)).coalesce(n_tasks))
         # The edges are distinct, so equal counts and equal sums of hashes mean that the round changed nothing.
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break
         before = now
-    roots = edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()
+    roots = edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct().coalesce(n_tasks)
     return edges.select(F.col("b").alias("id"), F.col("a").alias("component")).unionByName(roots)
 
 

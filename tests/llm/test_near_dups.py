@@ -165,3 +165,16 @@ def test_star_contraction_equals_union_find(spark, seed):
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
     assert got == {x: find(x) for x in root}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_rounds_have_no_more_tasks_than_links_need(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = components(spark.createDataFrame([(i, i + 1) for i in range(0, 300, 3)], "a bigint, b bigint").repartition(40))
+        assert found.rdd.getNumPartitions() <= 4
+        assert {(r["id"], r["component"]) for r in found.collect()} == {(i + j, i) for i in range(0, 300, 3) for j in (0, 1)}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
