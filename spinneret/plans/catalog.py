@@ -346,9 +346,13 @@ def written_segments(spark, sf_dir):
     if key not in _published:
         docs, rows = _split(spark, sf_dir)
         folder, now = scratch_path(spark, "segments"), datetime.now(timezone.utc)
+        # The rows are renumbered once, and each segment reads its own.
+        path = scratch_path(spark, "split")
+        rows.write.partitionBy("segment_id").parquet(path)
+        rows = spark.read.schema("token string, doc_id bigint, segment_id bigint").parquet(path)
         for segment_id in range(N_SEGMENTS):
             own = F.col("segment_id") == segment_id
-            write_segment(cut_lineage(rows.where(own)), docs.where(own), folder, str(segment_id), True, now, BLOCK_ROWS)
+            write_segment(rows.where(own), docs.where(own), folder, str(segment_id), True, now, BLOCK_ROWS)
         _published[key] = read_segments(spark, folder)
     return _published[key]
 

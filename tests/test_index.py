@@ -8,6 +8,7 @@ from spinneret.operators.documents import (
     build_doc_table, count_documents, extend_doc_table, ids_of_urls, indexed_documents, list_documents, urls_of_ids,
 )
 from spinneret.operators.ordering import dense_rank, in_ranges, offsets, scan_max
+from spinneret.plans import catalog
 from spinneret.plans.crawl_index import build_index, crawl_and_index
 from spinneret.sources.index_files import TRIE, read_segment, read_segments, write_index, write_segment
 from spinneret.sources.tables import seed_urls
@@ -373,3 +374,16 @@ def test_small_blocks_grow_with_the_table():
     assert blocks.number_of_blocks(10**7, 1 << 15) == blocks.SMALL_BLOCKS
     assert blocks.number_of_blocks(10**9, 1 << 15) == blocks.number_of_blocks(10**9, blocks.BLOCK_ROWS) == 1000
     assert blocks.number_of_blocks(10**7, 4 * blocks.BLOCK_ROWS) == 3
+
+
+def test_rows_of_all_segments_are_renumbered_once(spark, tmp_path, monkeypatch):
+    pages = [(i, f"https://a.example/{i}", f"<html><body>word{i} common</body></html>") for i in range(8)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    cut, kept = catalog.cut_lineage, []
+    monkeypatch.setattr(catalog, "cut_lineage", lambda df: kept.append(df.columns) or cut(df))
+    monkeypatch.setattr(catalog, "_published", {})
+    written = catalog.written_segments(spark, str(tmp_path))
+    # No joined copy of the postings for each segment.
+    assert not [columns for columns in kept if "token" in columns]
+    rows = written["postings"].join(written["doc_table"], ["segment_id", "doc_id"]).select("segment_id", "token", "url").collect()
+    assert sorted(map(tuple, rows)) == sorted((str(i % 4), t, u) for i, u, _ in pages for t in (f"word{i}", "common"))
